@@ -11,6 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.functions.hashing import JSON_OPTIONS
+
 
 def topic_options(servers: str, topic: str, max_per_trigger: int | None = None) -> dict[str, str]:
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
@@ -28,7 +30,7 @@ def read_events(spark: SparkSession, source: str, options: Mapping[str, str], pa
 
 def keyed_messages(df: DataFrame, key: str | None) -> DataFrame:
     """Rows as ``(key, value)``: value is the row as JSON; the key is text, NULL when NULL, zero or empty."""
-    value = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
+    value = F.to_json(F.struct("*"), {**JSON_OPTIONS, "ignoreNullFields": "false"}).alias("value")
     if key is None:
         return df.select(F.lit(None).cast("string").alias("key"), value)
     text = F.col(key).cast("string")
