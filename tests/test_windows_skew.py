@@ -1,0 +1,124 @@
+import random
+from statistics import median
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tests.conftest import values
+from tidegate.operators import windows as W
+from tidegate.operators.ranks import exact_median, narrowing_levels
+from tidegate.operators.skew import SLICE, slice_groups, slice_of
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A NULL key and one hot key with most rows, repeated timestamps and NULL values."""
+    random.seed(5)
+    keys = [1] * 900 + [None] * 400 + [2, 3, 4] * 20
+    data = [(k, random.choice([None, *range(60)]), i, random.choice([None, *range(9)])) for i, k in enumerate(keys)]
+    random.shuffle(data)
+    return spark.createDataFrame(data, "k int, ts int, id int, v int").cache()
+
+
+ORDER = ["ts", "id"]
+
+
+def plain():
+    return Window.partitionBy("k").orderBy(*ORDER)
+
+
+def test_slices_keep_order(hot):
+    sliced = slice_groups(hot, ["k"], ORDER, rows_per_slice=50)
+    assert sliced.hot is not None and {r.k for r in sliced.hot.collect()} == {1, None}
+    sizes = sliced.frame.where("k = 1").groupBy(SLICE).count().collect()
+    assert len(sizes) > 10 and max(r["count"] for r in sizes) < 200
+    edges = sliced.frame.where("k = 1").groupBy(SLICE).agg(
+        F.min(F.struct(*ORDER)).alias("lo"), F.max(F.struct(*ORDER)).alias("hi")
+    ).orderBy(SLICE).collect()
+    bounds = [((r.lo.ts is not None, r.lo.ts or 0, r.lo.id), (r.hi.ts is not None, r.hi.ts or 0, r.hi.id)) for r in edges]
+    assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:], strict=False))
+    assert sliced.frame.count() == hot.count()
+
+
+def test_slice_number_is_the_count_of_cuts_passed(spark, hot):
+    sliced = slice_groups(hot, ["k"], ORDER, rows_per_slice=50)
+    cuts = [tuple(c) for block in sliced.hot.where("k = 1").first()["_blocks"] for c in block]
+    for row in sliced.frame.where("k = 1").collect():
+        assert row[SLICE] == slice_of(cuts, (row.ts, row.id))
+
+
+def test_small_tables_are_left_alone(hot):
+    assert slice_groups(hot, ["k"], ORDER).hot is None
+
+
+@pytest.mark.parametrize("size", [40, 10**9])
+def test_row_numbers(hot, size):
+    got = W.numbered(hot, ["k"], ORDER, "n", size)
+    assert values(got) == values(hot.withColumn("n", F.row_number().over(plain())))
+
+
+@pytest.mark.parametrize("size", [40, 10**9])
+def test_previous_next_and_delta(hot, size):
+    got = W.with_delta(hot, ["k"], ORDER, "v", "p", "d", size)
+    lag = F.lag("v").over(plain())
+    assert values(got) == values(hot.withColumns({"p": lag, "d": F.col("v") - lag}))
+    following = W.with_next(hot, ["k"], ORDER, {"n": "v", "t": "ts"}, size)
+    assert values(following) == values(hot.withColumns({"n": F.lead("v").over(plain()), "t": F.lead("ts").over(plain())}))
+
+
+@pytest.mark.parametrize("size", [40, 10**9])
+def test_last_known(hot, size):
+    got = W.last_known(hot, ["k"], ORDER, "v", "l", size)
+    want = F.last("v", ignorenulls=True).over(plain().rowsBetween(Window.unboundedPreceding, 0))
+    assert values(got) == values(hot.withColumn("l", want))
+
+
+def test_ids_are_consecutive(hot):
+    got = W.assign_ids(hot, ORDER, "n", 10, rows_per_slice=60).orderBy(*ORDER)
+    assert [r.n for r in got.collect()] == list(range(10, 10 + hot.count()))
+
+
+def test_latest_per_key(hot):
+    got = W.latest_per_key(hot, ["k"], ["id"])
+    assert values(got, "k", "id") == values(hot.groupBy("k").agg(F.max("id")))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2  # before and after the shuffle
+
+
+def test_trailing_mean_excludes_the_day_itself(rows):
+    df = rows([("a", f"2024-01-{d:02d} 10:00:00", d) for d in (1, 1, 2, 9, 10)], "k string, ts string, v int")
+    out = W.trailing_mean(df.withColumn("ts", F.to_timestamp("ts")), ["k"], "ts", F.col("v")).orderBy("day").collect()
+    assert [(r.n, r.total, r.trailing_n, r.trailing_total) for r in out] == [
+        (2, 2, None, None), (1, 2, 2, 2), (1, 9, 1, 2), (1, 10, 1, 9),
+    ]
+
+
+def test_narrowing_levels():
+    assert narrowing_levels(1000) == 0
+    assert narrowing_levels(2_000_000) == 1
+    assert narrowing_levels(10**12) == 3
+
+
+@pytest.mark.parametrize("levels", [0, 1, 3])
+def test_median_by_narrowing(spark, levels):
+    random.seed(levels)
+    groups = {
+        "even": [random.random() for _ in range(400)],
+        "odd": [random.gauss(0, 5) for _ in range(301)],
+        "one": [3.0],
+        "two": [1.0, 2.0],
+        "ties": [5.0] * 500 + [random.random() for _ in range(480)],
+        "edge": [1.0] * 100 + [2.0] * 100,
+        "inf": [float("-inf")] * 3 + [float("inf")] * 4,
+    }
+    data = [(g, v) for g, vs in groups.items() for v in vs] + [("even", None), ("even", float("nan"))]
+    df = spark.createDataFrame(data, "g string, v double").repartition(5)
+    got = {r.g: r.median for r in exact_median(df, "v", ["g"], levels=levels).collect()}
+    assert got == {g: median(vs) for g, vs in groups.items()}
+
+
+def test_median_of_the_whole_table(spark):
+    df = spark.range(10001).selectExpr("CAST(id AS DOUBLE) AS v")
+    assert exact_median(df, "v", levels=2).first()[0] == 5000.0
+    assert exact_median(df, "v", exact_rows=100).first()[0] == 5000.0

@@ -195,7 +195,7 @@ def json_field(c: Column | str, path: str) -> Column:
 def numeric_ok(c: Column | str) -> Column:
     """Text that reads as a number (NaN does not)."""
     number = as_column(c).try_cast("double")
-    return F.coalesce(~F.isnan(number), F.lit(False))
+    return number.isNotNull() & ~F.isnan(number)
 
 
 def int_ok(c: Column | str) -> Column:
