@@ -95,11 +95,11 @@ def in_values(df: DataFrame, column: str, values: Sequence[Any]) -> DataFrame:
 
 
 def in_table(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(keys, on, "left_semi")
+    return df.join(keys, on, "left_semi").select(*df.columns)
 
 
 def not_in_table(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(keys, on, "left_anti")
+    return df.join(keys, on, "left_anti").select(*df.columns)
 
 
 def between(df: DataFrame, column: str, lo: Any | None, hi: Any | None) -> DataFrame:

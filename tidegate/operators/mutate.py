@@ -35,7 +35,7 @@ def dedup(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None)
 
 def new_rows(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Source rows, one per key, whose key the target lacks: what an insert-only load appends."""
-    return dedup(source, key).join(target.select(*key), list(key), "left_anti")
+    return dedup(source, key).join(target.select(*key), list(key), "left_anti").select(*source.columns)
 
 
 def upsert(
@@ -118,7 +118,8 @@ def fold_patches(changes: DataFrame, key: str, columns: Sequence[str], order: st
 
 def delete_keys(target: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """``(kept, deleted)`` for a set of keys."""
-    return target.join(keys, on, "left_anti"), target.join(keys, on, "left_semi")
+    kept, deleted = target.join(keys, on, "left_anti"), target.join(keys, on, "left_semi")
+    return kept.select(*target.columns), deleted.select(*target.columns)
 
 
 def delete_where(target: DataFrame, condition: str) -> tuple[DataFrame, DataFrame]:
