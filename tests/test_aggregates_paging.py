@@ -77,6 +77,10 @@ def test_pages_cover_the_sorted_table(spark):
         found, total = G.page(df, ["-id"], 20, offset, g=None)
         seen += [r.id for r in found.collect()]
     assert seen == list(range(56, -1, -1)) and one(total)["total"] == 57
+    for order in (["id"], ["-id"], ["g", "id"], ["-g", "-id"]):
+        for offset in (0, 30, 50, 56, 80):
+            near = G.page(df, order, 7, offset)[0].collect()
+            assert G.page(df, order, 7, offset, shallow_rows=0)[0].collect() == near
     found, total = G.page(df, ["id"], 5, 5, columns=["g"], g=1)
     assert found.columns == ["g"] and one(total)["total"] == 19 and found.count() == 5
 

@@ -9,6 +9,7 @@ the target is not shuffled; with a large one a hot key on the target side can be
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ def dedup(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None)
     in one group.
     """
     key = list(key)
-    alone = F.when(F.greatest(*[F.col(k).isNull() for k in key], F.lit(False)), F.monotonically_increasing_id())
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    alone = F.when(no_key, F.monotonically_increasing_id())
     marked = df.withColumn("_alone", alone)
     if order is None:
         return marked.dropDuplicates([*key, "_alone"]).drop("_alone")
@@ -49,6 +51,9 @@ def upsert(
 
     Columns only the target has keep their value on update and are NULL on insert.
     ``order`` decides which of several source rows per key counts (the last).
+
+    The source is read three times: one that is costly to compute should be landed
+    first (:func:`tidegate.sources.sinks.land`).
     """
     key = list(key)
     source = dedup(source, key, order)

@@ -50,6 +50,16 @@ def with_audit(df: DataFrame, now: Column, columns: Sequence[str] = ("loaded_at"
     return df.withColumns({c: now for c in columns})
 
 
+def compute_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add costly columns so that they are evaluated once per row.
+
+    A filter on a projected column is moved below the projection and takes a copy of
+    its expression along for every use. A generator with one output row stops that.
+    """
+    values = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
+
+
 def label_cols(df: DataFrame, name: str, prefix: str, parts: Sequence[str]) -> DataFrame:
     """Chart label such as ``Class 1 female``."""
     return df.withColumn(name, F.concat_ws(" ", F.lit(prefix), *[F.col(p).cast("string") for p in parts]))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.scalars import int_ok, numeric_ok
-from tidegate.operators.shape import union_all
+from tidegate.operators.shape import compute_once, union_all
 from tidegate.schemas import EVENT_POSITIVE, EVENT_REQUIRED, EVENT_TYPE, PASSENGERS_MAX, PASSENGERS_MIN
 
 NUMBER_TYPES = "^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL.*|DOUBLE|FLOAT)$"
@@ -128,7 +128,7 @@ def validate_payloads(df: DataFrame, body: str, fields: Sequence[Field]) -> Data
 
     The parsed payload stays as the variant column ``_payload``.
     """
-    df = df.withColumn("_payload", F.try_parse_json(body))
+    df = compute_once(df, {"_payload": F.try_parse_json(body)})
     is_object = F.coalesce(F.schema_of_variant("_payload").startswith("OBJECT"), F.lit(False))
     problems = [("", "must be a JSON object", ~is_object)]
     for f in fields:
@@ -148,7 +148,7 @@ def validate_payloads(df: DataFrame, body: str, fields: Sequence[Field]) -> Data
         if f.kind == "int":
             problems.append((f.name, "must be an integer", F.coalesce(number != F.floor(number), F.lit(False))))
         problems += _bounds(f, number)
-    return df.withColumn("errors", _problems(problems))
+    return compute_once(df, {"errors": _problems(problems)})
 
 
 def payload_rows(df: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()) -> DataFrame:

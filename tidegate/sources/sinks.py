@@ -34,6 +34,17 @@ def append_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     return seen.get["n"]
 
 
+def land(df: DataFrame, label: str = "load") -> tuple[DataFrame, int]:
+    """Write a load to the shared folder and read it back: ``(rows, how many)``.
+
+    What follows reads the copy, so a lost executor does not repeat the work before it.
+    """
+    path = staging_path(df.sparkSession, label)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"]
+
+
 def write_generation(df: DataFrame, table: str, root: str) -> str:
     """Write a new copy of a table next to the older ones and return its path."""
     path = f"{root.rstrip('/')}/{table}/{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.hashing import event_hash
-from tidegate.operators.shape import align, conform
+from tidegate.operators.shape import align, compute_once, conform
 from tidegate.schemas import EVENT_ENVELOPE, EVENT_PAYLOAD, EVENT_TYPE, TRIP_COLUMNS
 
 BAD_JSON = "malformed JSON"
@@ -21,8 +21,8 @@ def parse_events(df: DataFrame, fields: Sequence[str] = (*EVENT_ENVELOPE, *EVENT
     Anything but a JSON object gets the error ``malformed JSON``.
     """
     layout = ", ".join([*(f"`{f}` string" for f in fields), "_bad string"])
-    parsed = F.from_json(raw, layout, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    out = df.select(F.col(raw).alias("raw"), parsed.alias("_event"))
+    parsed = F.from_json("raw", layout, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    out = compute_once(df.select(F.col(raw).alias("raw")), {"_event": parsed})
     bad = F.col("_event._bad").isNotNull() | F.col("raw").isNull() | (F.trim("raw") == "")
     return out.select("raw", *[F.col(f"_event.{f}").alias(f) for f in fields], F.when(bad, BAD_JSON).alias("error"))
 
