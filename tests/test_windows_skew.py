@@ -122,3 +122,5 @@ def test_median_of_the_whole_table(spark):
     df = spark.range(10001).selectExpr("CAST(id AS DOUBLE) AS v")
     assert exact_median(df, "v", levels=2).first()[0] == 5000.0
     assert exact_median(df, "v", exact_rows=100).first()[0] == 5000.0
+    for levels in (0, 2):
+        assert exact_median(df.where("v < 0"), "v", levels=levels).first()[0] is None

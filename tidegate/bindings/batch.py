@@ -245,9 +245,9 @@ def prefix_and_members(t: Tables) -> DataFrame:
     return P.in_values(P.like(t.customer, "c_mktsegment", "B%"), "c_nationkey", [1, 2, 3, 5, 8, 13])
 
 
-@query("SELECT * FROM nation WHERE n_nationkey = 7")
+@query("SELECT * FROM orders WHERE o_orderkey = 777")
 def point_lookup(t: Tables) -> DataFrame:
-    return P.by_key(t.nation, "n_nationkey", 7)
+    return P.by_key(t.orders, "o_orderkey", 777)
 
 
 @query("SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")

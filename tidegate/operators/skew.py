@@ -76,9 +76,17 @@ def slice_groups(
     if not hot:
         return Sliced(df.withColumn(SLICE, F.lit(0)), keys, order, None)
     table = _cut_table(df, keys, order, hot)
-    cut = _match(df, table, keys, "left")
-    number = _slice_number(F.struct(*[F.col(c) for c in order]))
-    return Sliced(cut.withColumn(SLICE, number).drop("_heads", "_blocks"), keys, order, table)
+    position = F.struct(*[F.col(c) for c in order])
+    found = _match(df, table, keys, "left").withColumn("_block", _cuts_passed(F.col("_heads"), position))
+    width = F.size(F.element_at("_blocks", 1))
+    inside = _cuts_passed(F.element_at("_blocks", F.col("_block")), position)
+    number = F.when(F.col("_block") > 0, (F.col("_block") - 1) * width + inside).otherwise(0).cast("int")
+    return Sliced(found.withColumn(SLICE, number).drop("_heads", "_blocks", "_block"), keys, order, table)
+
+
+def _cuts_passed(cuts: Column, position: Column) -> Column:
+    """How many of the ascending cut points are at or below the position; NULL cuts count as none."""
+    return F.when(cuts.isNotNull(), F.size(F.filter(cuts, lambda cut: cut <= position))).otherwise(0)
 
 
 def _cut_points(df, keys, order, rows_per_slice, sample_rows) -> dict[tuple, list[tuple]]:
@@ -122,17 +130,6 @@ def _cut_table(df: DataFrame, keys, order, cuts: dict[tuple, list[tuple]]) -> Da
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def _slice_number(position: Column) -> Column:
-    block = F.size(F.filter("_heads", lambda head: head <= position))
-    inside = F.size(F.filter(F.element_at("_blocks", block), lambda cut: cut <= position))
-    width = F.size(F.element_at("_blocks", 1))
-    return (
-        F.when(F.col("_heads").isNull() | (block == 0), F.lit(0))
-        .otherwise((block - 1) * width + inside)
-        .cast("int")
-    )
-
-
 def slice_of(points: Sequence[tuple], position: tuple) -> int:
     """Plain statement of the slice rule: how many cut points are at or below the position."""
     return bisect.bisect_right([_null_first(p) for p in points], _null_first(position))
