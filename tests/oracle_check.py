@@ -46,8 +46,8 @@ def compare(spark, con, folder, name, build, sql):
     if got[0] != want[0]:
         return f"columns {got[0]} != {want[0]}"
     if got[1] != want[1]:
-        extra = [r for r in got[1] if r not in set(want[1])][:3]
-        missing = [r for r in want[1] if r not in set(got[1])][:3]
+        extra = sorted(set(got[1]) - set(want[1]))[:3]
+        missing = sorted(set(want[1]) - set(got[1]))[:3]
         return f"{len(got[1])} rows against {len(want[1])}\n   columns {got[0]}\n   only Spark {extra}\n   only SQL   {missing}"
     return None
 
