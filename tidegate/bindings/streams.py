@@ -53,8 +53,9 @@ def stream_ingest(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT 3 * count(*) AS processed, count(*) FILTER (user_id >= 1) AS inserted, count(*) FILTER (user_id >= 1) AS duplicates,
-       count(*) + 2 * count(*) FILTER (user_id < 1) AS invalid FROM events""")
+SELECT 3 * count(*) AS processed, count(*) FILTER (user_id >= 1 AND value > 0) AS inserted,
+       count(*) FILTER (user_id >= 1 AND value > 0) AS duplicates,
+       count(*) + 2 * count(*) FILTER (user_id < 1 OR value <= 0) AS invalid FROM events""")
 def stream_counters(t: Tables) -> DataFrame:
     paths = ingested(t)[1]
     return total_counters(t.spark.read.parquet(paths.counters))
@@ -62,13 +63,15 @@ def stream_counters(t: Tables) -> DataFrame:
 
 @query("""
 SELECT 'malformed JSON' AS reason, count(*) AS n FROM events
-UNION ALL SELECT 'user_id must be between 1 and 1000000000, got ''0''', 2 * count(*) FROM events WHERE user_id < 1 HAVING count(*) > 0""")
+UNION ALL SELECT 'Field ''value'' must be > 0, got ''0.0''', 2 * count(*) FROM events WHERE value <= 0 HAVING count(*) > 0
+UNION ALL SELECT 'user_id must be between 1 and 1000000000, got ''0''', 2 * count(*) FROM events
+  WHERE user_id < 1 AND value > 0 HAVING count(*) > 0""")
 def stream_rejected(t: Tables) -> DataFrame:
     paths = ingested(t)[1]
     return t.spark.read.parquet(paths.rejected).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT event_id, user_id, value FROM events WHERE user_id >= 1")
+@query("SELECT event_id, user_id, value FROM events WHERE user_id >= 1 AND value > 0")
 def stream_dedup(t: Tables) -> DataFrame:
     """Deduplication in state; the sink is a parquet table."""
     root = staging_path(t.spark, "dedup")
