@@ -18,7 +18,8 @@ def ts(text):
 def test_upsert_update_keeps_target_only_columns(rows):
     target = rows([(1, "a", 10), (2, "b", 20)], TARGET)
     source = rows([(2, "old", 1), (2, "new", 2), (3, "c", 1)], SOURCE)
-    out = M.upsert(target, source, ["k"], order=["seq"]).select("k", "v", "kept")
+    out = M.upsert(target, source, ["k"], order=["seq"])
+    assert out.columns == target.columns
     assert values(out) == [(1, "a", 10), (2, "new", 20), (3, "c", None)]
     again = M.upsert(out, source.drop("seq").where("v <> 'old'"), ["k"])
     assert values(again.select("k", "v", "kept")) == values(out)

@@ -39,14 +39,14 @@ SELECT c.c_custkey, c.c_name, c.c_nationkey::BIGINT AS c_nationkey, coalesce(h.c
 FROM customer c LEFT JOIN changes h USING (c_custkey)
 UNION ALL SELECT h.c_custkey, NULL, NULL, h.c_acctbal, NULL FROM changes h ANTI JOIN customer USING (c_custkey)""")
 def upsert_update(t: Tables) -> DataFrame:
-    return upsert(t.customer, balances(t), ["c_custkey"], "update", ["_at", "_seq"]).drop("_at", "_seq")
+    return upsert(t.customer, balances(t), ["c_custkey"], "update", ["_at", "_seq"])
 
 
 @query(f"""WITH {BALANCES_SQL}
 SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment FROM customer
 UNION ALL SELECT h.c_custkey, NULL, NULL, h.c_acctbal, NULL FROM changes h ANTI JOIN customer USING (c_custkey)""")
 def upsert_ignore(t: Tables) -> DataFrame:
-    return upsert(t.customer, balances(t), ["c_custkey"], "ignore", ["_at", "_seq"]).drop("_at", "_seq")
+    return upsert(t.customer, balances(t), ["c_custkey"], "ignore", ["_at", "_seq"])
 
 
 @query(f"""WITH {BALANCES_SQL},

@@ -49,7 +49,8 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys; for known keys take the source's values or keep the row.
 
-    Columns only the target has keep their value on update and are NULL on insert.
+    The result has the target's columns. Those the source lacks keep their value on
+    update and are NULL on insert.
     ``order`` decides which of several source rows per key counts (the last).
 
     The source is read three times: one that is costly to compute should be landed
@@ -57,7 +58,8 @@ def upsert(
     """
     key = list(key)
     source = dedup(source, key, order)
-    unmatched = source.join(_known_keys(target, source, key), key, "left_anti")
+    missing = source.join(_known_keys(target, source, key), key, "left_anti")
+    unmatched = missing.select(*[c for c in target.columns if c in source.columns])
     if on_match == "ignore":
         return union_all(target, unmatched)
     if on_match != "update":
