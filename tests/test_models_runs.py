@@ -218,3 +218,17 @@ def test_catalog_names_views_by_layer(spark):
     profile = C.table_profile([("staging", "b", "table", spark.range(3)), ("analytics", "a", "view", spark.range(2))])
     assert [tuple(r) for r in profile.collect()] == [("analytics", "a", "view", 2), ("staging", "b", "table", 3)]
     assert values(C.layer_listing(spark)) == [("default",)]
+
+
+def test_cleaning_reaches_the_scan_of_a_stored_table(spark, tmp_path):
+    path = str(tmp_path / "trips")
+    landed(spark).write.parquet(path)
+    hourly = M.trips_hourly(M.stage_trips(spark.read.parquet(path)))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = hourly._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for pushed in ("GreaterThan(fare_amount,0.00)", "GreaterThan(trip_distance,0.00)", "LessThanOrEqual(passenger_count,6)"):
+        assert pushed in plan
+    read = plan.split("ReadSchema: ")[1]
+    assert "pickup_longitude" not in read and "source_row_hash" not in read
+    assert plan.count("Exchange") == 1
