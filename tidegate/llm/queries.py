@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, quality, token_counts, toxicity
-from tidegate.llm.common import table
+from tidegate.llm import bpe, exact_dedup, quality, token_counts, toxicity, url_rules
+from tidegate.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,3 +42,46 @@ def op6_toxicity(spark, sf_dir):
 @query()
 def op9_bpe(spark, sf_dir):
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+#: The listed rules of the URL query: host, path, verdict.
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def _rules_sql() -> tuple[str, str]:
+    order = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+    fits = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for h, p, _ in order]
+    rule = " ".join(f"{w} THEN '{h}{p}'" for w, (h, p, _) in zip(fits, order, strict=True))
+    verdict = " ".join(f"{w} THEN '{v}'" for w, (_, _, v) in zip(fits, order, strict=True))
+    return f"CASE {rule} END", f"CASE {verdict} ELSE 'allow' END"
+
+
+@query(
+    f"""
+    WITH cut AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    parts AS (
+        SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM cut)
+    SELECT page_id, host, path, {_rules_sql()[0]} AS rule, {_rules_sql()[1]} AS verdict FROM parts
+    """
+)
+def op2_url_rules(spark, sf_dir):
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query(
+    """
+    WITH plain AS (
+        SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256
+        FROM documents),
+    ranked AS (
+        SELECT *, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+            first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST) AS keep_id
+        FROM plain)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
+    """
+)
+def op10_exact_dedup(spark, sf_dir):
+    return exact_dedup.marked(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
