@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, exact_dedup, quality, token_counts, toxicity, url_rules
+from tidegate.llm import bpe, exact_dedup, packing, quality, simhash, token_counts, toxicity, url_rules
 from tidegate.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,13 @@ def op2_url_rules(spark, sf_dir):
 )
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.marked(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query()
+def op5_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
