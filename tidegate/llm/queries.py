@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, exact_dedup, packing, quality, simhash, token_counts, toxicity, url_rules
+from tidegate.llm import bpe, exact_dedup, html_text, order_minhash, packing, quality, simhash, token_counts, toxicity, url_rules
 from tidegate.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,13 @@ def op5_simhash(spark, sf_dir):
 @query()
 def op8_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op4_order_minhash(spark, sf_dir):
+    return order_minhash.with_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
