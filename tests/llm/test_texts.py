@@ -67,7 +67,7 @@ def test_likeness_follows_edits():
     rng = random.Random(6)
     text = "".join(rng.choice("abcdefghij ") for _ in range(3_000))
     sign = order_minhash.signature
-    small, large = text[:1_400] + "XX" + text[1_400:], text[:1_000] + text[::-1][:2_000]
+    small, large = "X".join(text[i : i + 150] for i in range(0, 3_000, 150)), text[:1_000] + text[::-1][:2_000]
     moved = text[1_500:] + text[:1_500]
     likeness = [order_minhash.likeness(sign(text), sign(t)) for t in (text, small, moved, large)]
     assert likeness[0] == 1 and likeness[0] > likeness[1] > likeness[2] > likeness[3]
