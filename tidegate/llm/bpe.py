@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from functools import cached_property
 from struct import pack
 
 import numpy as np
@@ -31,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import BLANKS, in_chunks, per_batch, raw_texts
+from tidegate.llm.common import BLANKS, in_chunks, per_batch, raw_texts, small_batches
 
 #: Fragments a worker remembers, and bytes up to which a fragment is encoded along with others.
-CACHED, SHORT = 300_000, 64
+CACHED, SHORT = 200_000, 64
 GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 GAPS = np.isin(np.arange(256), [ord(c) for c in BLANKS])
 
@@ -50,25 +51,36 @@ class Encoder:
     """Ids and decoded forms of words, by one tokenizer file."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        self.path = path
         self.whole = whole = Tokenizer.from_file(path)
         self.normalize, self.split = whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str
-        vocab, merges = spec["model"]["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.suffix = spec["model"]["end_of_word_suffix"] or ""
-        self.final = models.BPE(vocab=vocab, merges=merges, end_of_word_suffix=self.suffix or None)
-        self.inner = models.BPE(vocab=vocab, merges=merges)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if spec.get("decoder") or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError("only tokenizers without a decoder and with plain added tokens are supported")
         self.special = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         self.starts = {t[:2].encode() for t in self.added}
-        self.token = {i: t for t, i in vocab.items()} | {i: t for t, i in self.added.items()}
-        self.inside = self.pairs_inside(vocab)
+        self.inside = self.pairs_inside(spec["model"]["vocab"])
         self.boundary = self.safe_boundaries()
 
+    @cached_property
+    def models(self) -> tuple:
+        """The model without and with the end-of-word mark, for parts of long fragments."""
+        from tokenizers import models
+
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        return models.BPE(vocab=model["vocab"], merges=merges), models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=self.suffix or None)
+
+    @cached_property
+    def token(self) -> dict[int, str]:
+        return {i: t for t, i in self.whole.get_vocab(with_added_tokens=True).items()}
+
     def pairs_inside(self, vocab: dict[str, int]) -> set[str]:
         """Adjacent byte letters that occur inside some token; every other pair is a forced boundary."""
         letters, pairs = byte_letters(), set()
@@ -97,11 +109,12 @@ class Encoder:
 
     def encode_word(self, raw: bytes) -> list[int]:
         ids: list[int] = []
+        inner, final = self.models
         for piece, _ in self.split(self.normalize(raw.decode())):
             *first, last = self.fragments(piece)
             for part in first:
-                ids.extend(t.id for t in self.inner.tokenize(part))
-            ids.extend(t.id for t in self.final.tokenize(last))
+                ids.extend(t.id for t in inner.tokenize(part))
+            ids.extend(t.id for t in final.tokenize(last))
         return ids
 
     def parts(self, raw: bytes) -> list[tuple[bytes, int | None]]:
@@ -205,7 +218,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, text: str = "text", into: str
     schema = ", ".join(f"`{c}` {dict(docs.dtypes)[c]}" for c in rest) + (", " if rest else "") + f"`{into}` array<int>"
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = [np.frombuffer(x, "<u4").astype("int32") for x in packed_ids(tokenizer, raw_texts(batch.column("__text")))]
             arrays = [batch.column(c) for c in rest] + [pa.array(ids, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, [*rest, into])
@@ -220,7 +233,7 @@ def decode_ids(docs: DataFrame, tokenizer: str, ids: str = "ids", into: str = "d
 
     def run(batches):
         token = encoder(tokenizer).token
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [" ".join(token[i] for i in row or () if i in token) for row in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in rest] + [pa.array(texts, pa.string())], [*rest, into])
 

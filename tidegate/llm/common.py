@@ -67,6 +67,16 @@ def in_chunks(raws: list[bytes], gap: re.Pattern, size: int = 1 << 20) -> Iterat
 
 
 Batches = Iterator[pa.RecordBatch]
+#: Rows that a task turns into Python objects at once.
+ROWS_AT_ONCE = 500
+
+
+def small_batches(batches: Batches) -> Batches:
+    """The same rows in short batches; at the end, what the Arrow pool holds unused goes back to the system."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+    pa.default_memory_pool().release_unused()
 
 
 def per_batch(make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> Callable[[Batches], Batches]:
@@ -78,9 +88,8 @@ def per_batch(make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str)
 
     def run(batches: Batches) -> Batches:
         work = make()
-        for batch in batches:
-            if batch.num_rows:
-                out = work(batch)
-                yield pa.RecordBatch.from_arrays([pa.array(out[n]) if n in out and not isinstance(out[n], pa.Array) else out[n] if n in out else batch.column(n) for n in names], names)
+        for batch in small_batches(batches):
+            out = work(batch)
+            yield pa.RecordBatch.from_arrays([pa.array(out[n]) if n in out and not isinstance(out[n], pa.Array) else out[n] if n in out else batch.column(n) for n in names], names)
 
     return run

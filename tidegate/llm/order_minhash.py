@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.llm.common import small_batches
+
 K, TUPLES, TAKEN = 8, 64, 2
 RANGE_ROWS, MOST_RANGES = 4_096, 20_000
 LOWEST = -(1 << 63)
@@ -173,7 +175,7 @@ def with_neighbours(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
             edited_sign = sign if edited == text else signature(edited)
             out.append((doc_id, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), sign.astype(">u4").tobytes().hex(), edited_sign.astype(">u4").tobytes().hex(), likeness(sign, edited_sign), likeness(sign, next_sign)))
 
-        for batch in batches:
+        for batch in small_batches(batches):
             for number, extra, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("range", "extra", "doc_id", "text")), strict=True):
                 if number != held_range:
                     held, held_range = None, number

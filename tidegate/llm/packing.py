@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.bpe import packed_ids
-from tidegate.llm.common import raw_texts
+from tidegate.llm.common import raw_texts, small_batches
 from tidegate.sources.sinks import land
 
 CAPACITY, END, NEARLY, FAN, BINS, PIECES = 4_096, 1, 8, 8, 20_000, 100_000
@@ -93,7 +93,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id
 
     def first(batches):
         bins: list = []
-        for batch in batches:
+        for batch in small_batches(batches):
             ids = batch.column("doc_id").to_pylist()
             for doc_id, packed in zip(ids, packed_ids(tokenizer, raw_texts(batch.column("text"))), strict=True):
                 bins += pieces_of(doc_id, packed + end, capacity)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import per_batch, raw_texts
+from tidegate.llm.common import per_batch, raw_texts, small_batches
 from tidegate.llm.labelled import held_out, training_sample
 
 PER_CLASS, BLOCKS_EACH, BLOCK = 4_000, 16, 4_096
@@ -118,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", per_class
     sample = sample.withColumn("calibrates", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 1)
 
     def cut(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             pairs = [(label, b) for label, raw in zip(batch.column("label").to_pylist(), raw_texts(batch.column("text")), strict=True) for b in sampled_blocks(raw)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int32()), pa.array([b for _, b in pairs], pa.binary())], ["label", "block"])
 
@@ -133,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", per_class
 
     def measure(batches):
         sizes_of = sizer(good, bad)
-        for batch in batches:
+        for batch in small_batches(batches):
             rows = [sizes_of(raw) for raw in raw_texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.list_(pa.float64()))], ["label", "x"])
 

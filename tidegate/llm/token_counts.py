@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import in_chunks, per_batch, raw_texts
+from tidegate.llm.common import in_chunks, per_batch, raw_texts, small_batches
 
 LIMIT = 4096
 TABLE_ROWS, KEY_BYTES = 16_384, 48
 #: Pre-tokens that a task counts before it drops the rare ones, and those it passes on.
-COUNTED, PASSED_ON = 200_000, 2_048
+COUNTED, PASSED_ON = 150_000, 2_048
 #: Lengths a worker keeps before it starts again from the table.
-CACHED = 400_000
+CACHED = 250_000
 
 PRE_TOKEN = re.compile(rb" +[^ \n]*|\n[^ \n]*")
 MARK = "▁".encode()
@@ -97,7 +97,7 @@ def frequent_pre_tokens(docs: DataFrame, text: str = "text") -> list[bytes]:
 
     def count(batches):
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in small_batches(batches):
             for _, group in in_chunks([r.replace(MARK, b" ") for r in raw_texts(batch.column(0))], GAP):
                 for piece in group:
                     seen.update(pre_tokens(piece))

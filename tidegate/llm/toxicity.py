@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import per_batch, pieces, texts_of
+from tidegate.llm.common import per_batch, pieces, small_batches, texts_of
 from tidegate.llm.labelled import held_out, training_sample
 
 PER_CLASS, BITS, THRESHOLD = 6_000, 20, 0.3
@@ -34,7 +34,7 @@ ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 6.0, 0.0, 6
 GAPS = (1, 2, 3)
 WORD, BLANK = re.compile(r"\w+"), re.compile(r"\s")
 #: Word hashes that a worker remembers.
-CACHED = 500_000
+CACHED = 200_000
 SPREAD, PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -103,7 +103,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class:
 
     def learn(batches):
         hasher, rows, known = Hasher(), [], []
-        for batch in batches:
+        for batch in small_batches(batches):
             rows += [hasher.distinct(t) for t in texts_of(batch.column("text"))]
             known += batch.column("label").to_pylist()
         ones = sum(known)
