@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import BLANKS, in_chunks, per_batch, raw_texts, small_batches
 
 #: Fragments a worker remembers, and bytes up to which a fragment is encoded along with others.
-CACHED, SHORT = 200_000, 64
+CACHED, SHORT = 360_000, 64
 GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 GAPS = np.isin(np.arange(256), [ord(c) for c in BLANKS])
 
@@ -159,7 +159,7 @@ class Forms:
     """Bounded memory of ``make(ids)`` for fragments."""
 
     def __init__(self, enc: Encoder, make):
-        self.enc, self.make, self.known = enc, make, {}
+        self.enc, self.make, self.known, self.older = enc, make, {}, {}
 
     def of_texts(self, raws: list[bytes]):
         """For each text, the forms of its fragments and special tokens in order; long texts in pieces: ``(row, forms)``."""
@@ -170,10 +170,12 @@ class Forms:
             fragments = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             missing = set(fragments).difference(self.known)
             if missing:
-                if len(self.known) + len(missing) > CACHED:
-                    self.known = {}
+                if len(self.known) + len(missing) > CACHED // 2:
+                    # The older half goes, but for what is still in use.
+                    self.older, self.known = self.known, {}
                     missing = set(fragments)
-                order = list(missing)
+                order = list(missing.difference(self.older))
+                self.known.update((f, self.older[f]) for f in missing.intersection(self.older))
                 self.known.update(zip(order, map(self.make, self.enc.encode_each(order)), strict=True))
             forms = list(map(self.known.__getitem__, fragments))
             stops = np.searchsorted(starts, np.cumsum([len(part) + 1 for _, part, _ in parts])).tolist()
