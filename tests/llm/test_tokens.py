@@ -100,7 +100,7 @@ def test_long_fragments_are_cut_at_forced_boundaries(library_ids):
         found = bpe.Forms(enc, tuple)
         got = [[] for _ in texts]
         for row, forms in found.of_texts(texts):
-            got[row] += [i for form in forms for i in form]
+            got[row] += [int(i) for form in forms for i in form]
     finally:
         bpe.SHORT = short
     assert got == ids

@@ -25,7 +25,6 @@ import hashlib
 import json
 import re
 from functools import cached_property
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -137,21 +136,24 @@ class Encoder:
         ends[:-1] &= split | ~inside[1:]
         return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
-    def encode_each(self, fragments: list[bytes]) -> list[list[int]]:
+    def encode_each(self, fragments: list[bytes]) -> list[np.ndarray]:
         """Ids of each fragment; the short ones go through the library in one call, a gap apart."""
-        found: list[list[int]] = [[] for _ in fragments]
+        found: list = [None] * len(fragments)
         short = [i for i, f in enumerate(fragments) if len(f) <= SHORT]
-        for i, f in enumerate(fragments):
-            if len(f) > SHORT:
-                found[i] = self.encode_word(f)
+        if len(short) < len(fragments):
+            for i, f in enumerate(fragments):
+                if len(f) > SHORT:
+                    found[i] = np.array(self.encode_word(f), "<u4")
         if short:
             words = [fragments[i].decode() for i in short]
-            sizes = np.array([len(w) + 1 for w in words])
+            stops = np.cumsum([len(w) + 1 for w in words])
             whole = self.whole.encode(" ".join(words), add_special_tokens=False)
             # Every id belongs to the word that its first character lies in.
-            owner = np.searchsorted(np.cumsum(sizes), np.array([a for a, _ in whole.offsets], np.int64), "right").tolist()
-            for k, i in zip(owner, whole.ids, strict=True):
-                found[short[k]].append(i)
+            cuts = np.searchsorted(np.array([a for a, _ in whole.offsets], np.int64), stops).tolist()
+            ids, at = np.array(whole.ids, "<u4"), 0
+            for i, cut in zip(short, cuts, strict=True):
+                found[i] = ids[at:cut]
+                at = cut
         return found
 
 
@@ -181,7 +183,7 @@ class Forms:
             stops = np.searchsorted(starts, np.cumsum([len(part) + 1 for _, part, _ in parts])).tolist()
             at = 0
             for (row, _, after), stop in zip(parts, stops, strict=True):
-                yield row, forms[at:stop] if after is None else [*forms[at:stop], self.make([after])]
+                yield row, forms[at:stop] if after is None else [*forms[at:stop], self.make(np.array([after], "<u4"))]
                 at = stop
 
 
@@ -208,7 +210,7 @@ def forms(path: str, name: str, make) -> Forms:
 def packed_ids(path: str, raws: list[bytes]) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit numbers."""
     found: list[list[bytes]] = [[] for _ in raws]
-    for row, part in forms(path, "packed", lambda ids: pack(f"<{len(ids)}I", *ids)).of_texts(raws):
+    for row, part in forms(path, "packed", np.ndarray.tobytes).of_texts(raws):
         found[row].append(b"".join(part))
     return [b"".join(x) for x in found]
 
@@ -248,7 +250,7 @@ def round_trip_digest(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
 
     def make():
         enc = encoder(tokenizer)
-        memory = forms(tokenizer, "digest", lambda ids: (len(ids), b"".join([b" %d" % i for i in ids]), b"".join([b" " + enc.token[i].encode() for i in ids])))
+        memory = forms(tokenizer, "digest", lambda ids: (len(ids), b"".join([b" %d" % i for i in ids.tolist()]), b"".join([b" " + enc.token[i].encode() for i in ids.tolist()])))
 
         def work(batch):
             raws = raw_texts(batch.column("text"))
