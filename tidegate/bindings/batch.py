@@ -389,6 +389,12 @@ def median_mean_share(t: Tables) -> DataFrame:
     return medians.join(rest, "event_type")
 
 
+@query("SELECT CASE WHEN user_id % 3 > 0 THEN user_id % 3 END AS part, median(value) AS median FROM events GROUP BY 1")
+def median_with_null_keys(t: Tables) -> DataFrame:
+    parts = t.events.withColumn("part", F.when(F.col("user_id") % 3 > 0, F.col("user_id") % 3))
+    return exact_median(parts, "value", ["part"], levels=1)
+
+
 @query("SELECT median(l_extendedprice) AS median FROM lineitem")
 def median_by_narrowing(t: Tables) -> DataFrame:
     """The path large tables take, here with two brackets whatever the size."""

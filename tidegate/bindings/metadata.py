@@ -11,7 +11,6 @@ from tidegate.bindings import Tables, query
 from tidegate.bindings.shapes import NOW, RUNS_SQL, marks, now, runs
 from tidegate.plans import runs as R
 from tidegate.plans.loads import incremental_load
-from tidegate.sources.catalog import table_sizes
 
 LATEST_SQL = "SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY started_at DESC, run_id DESC) = 1"
 MARKS_SQL = "marks AS (SELECT event_type AS dataset_name, max(ts) AS newest, count(*) AS n FROM events GROUP BY 1)"
@@ -111,9 +110,3 @@ UNION ALL SELECT 'row drop', task_id || '/' || run_id, CAST(-100 * (rows_ingeste
 FROM deltas WHERE (rows_ingested - before) * 100 < -20 * before""")
 def alert_rows(t: Tables) -> DataFrame:
     return R.alerts(runs(t), marks(t), now())
-
-
-@query()
-def stored_sizes(t: Tables) -> DataFrame:
-    names = ["customer", "events", "lineitem", "orders", "part", "supplier"]
-    return table_sizes(t.spark, {name: f"{t.folder}/{name}.parquet" for name in names})

@@ -67,7 +67,9 @@ def scd2_merge(
 ) -> DataFrame:
     """Close changed versions, open new ones, leave the rest alone.
 
-    ``src`` must hold each key once. Keys missing from it stay current.
+    ``src`` must hold each key once and no NULL key; anything else fails when the result
+    is computed, as it would leave a key with two current versions. Keys missing from it
+    stay current.
 
     The dimension is read on the left of one join with the source, so a source small
     enough to broadcast leaves the dimension unshuffled. Each row then yields itself,
@@ -81,6 +83,9 @@ def scd2_merge(
         incoming = incoming.withColumn("change_reason", F.lit(reason))
     columns = dim.columns
     fresh = incoming.select(key, F.struct(*[_field(incoming, c) for c in columns]).alias("_new"))
+    once = fresh.groupBy(key).agg(F.first("_new").alias("_new"), F.count(F.lit(1)).alias("_rows"))
+    fine = (F.col("_rows") == 1) & F.col(key).isNotNull()
+    fresh = once.select(key, F.when(fine, F.col("_new")).otherwise(F.raise_error(F.lit("source key is NULL or repeated"))).alias("_new"))
 
     current = F.col("is_current") & (F.col("_key") == F.col(key))
     joined = dim.join(fresh.withColumnRenamed(key, "_key"), current, "left")

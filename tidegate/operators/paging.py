@@ -66,14 +66,16 @@ def page_after(df: DataFrame, key: str, last: Any | None, limit: int, descending
 def deep_page(
     df: DataFrame, key: str, limit: int, offset: int, descending: bool = False, shallow_rows: int = SHALLOW_ROWS
 ) -> DataFrame:
-    """Page at any offset over a unique integer key.
+    """Page at any offset over a unique integer key; NULL keys have no place in it and are refused.
 
     Beyond ``shallow_rows`` the key near the offset is found by counting: a range of
     keys is split into equal parts, rows per part are counted, and the part that
     holds the offset is split again. Only the part counts reach the driver.
     """
     position = -F.col(key) if descending else F.col(key)
-    lo, hi = df.agg(F.min(position), F.max(position)).first()
+    lo, hi, unplaced = df.agg(F.min(position), F.max(position), F.count_if(F.col(key).isNull())).first()
+    if unplaced:
+        raise ValueError(f"{unplaced} rows have no {key}; page over another key")
     remaining = offset
     while lo is not None and lo < hi and remaining > shallow_rows:
         width = (hi - lo) // PARTS + 1

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidegate.session import staging_path
 
@@ -98,12 +99,16 @@ def replace_slices(df: DataFrame, path: str, column: str, touched: Column) -> st
     spark = df.sparkSession
     staged = staging_path(spark, "slices")
     _rebalanced(df, [column]).write.partitionBy(column).parquet(staged)
-    install_slices(spark, staged, path, column, touched)
+    install_slices(spark, staged, path, column, touched, df.schema)
     return staged
 
 
-def install_slices(spark: SparkSession, staged: str, path: str, column: str, touched: Column) -> None:
-    held = spark.read.parquet(path)
+def install_slices(spark: SparkSession, staged: str, path: str, column: str, touched: Column, schema: StructType | None = None) -> None:
+    """Copy staged slices over those of the table and remove the slices that became empty.
+
+    ``schema`` is the table's; without it a text slice such as ``01`` would be read as a number.
+    """
+    held = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
     fresh = spark.read.schema(held.schema).parquet(staged)
     before = held.where(touched).select(column).distinct()
     emptied = before.exceptAll(fresh.select(column).distinct()).collect()

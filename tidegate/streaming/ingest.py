@@ -91,12 +91,17 @@ def ingest_stream(events: DataFrame, paths: Paths, bounded: bool = True, **optio
 def dedup_stream(rows: DataFrame, ts: str, delay: str, key: str = "source_row_hash") -> DataFrame:
     """Deduplicate in state instead of against the table, for repeats within ``delay``.
 
-    A NULL key would match other NULL keys, so such rows must not be in the stream;
-    they are left out here and belong to the rejected output.
+    A NULL key would match other NULL keys, so such rows are left out here;
+    :func:`unkeyed` has them, for the rejected output.
     """
     return rows.where(F.col(key).isNotNull()).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
+def unkeyed(rows: DataFrame, key: str = "source_row_hash") -> DataFrame:
+    """The rows that :func:`dedup_stream` leaves out."""
+    return rows.where(F.col(key).isNull())
+
+
 def total_counters(counters: DataFrame) -> DataFrame:
     """Counters of all batches together."""
     return counters.agg(*[F.sum(c).cast("bigint").alias(c) for c in ("processed", "inserted", "duplicates", "invalid")])
