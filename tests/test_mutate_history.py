@@ -150,7 +150,7 @@ def test_as_of_join_paths_agree_with_brute_force(spark, small, size):
     )
     facts = [(i, 1 if i % 5 else (None if i % 2 else 3), f"2020-01-{1 + i % 17:02d}") for i in range(150)]
     fact = spark.createDataFrame(facts, "id int, fk int, at string").withColumn("at", F.to_timestamp("at"))
-    out = H.as_of_join(fact, dim, ("fk", "k"), "at", ["v"], "id", small_history=small, rows_per_slice=size)
+    out = H.as_of_join(fact, dim, ("fk", "k"), "at", ["v"], "id", short_histories=small > 0, rows_per_slice=size)
     want = []
     for i, k, at in facts:
         match = [v for key, a, b, v in closed if key == k and a <= at < b]

@@ -1,13 +1,18 @@
 """Cases in which NULL, repeated or text keys once gave other results."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
-from tidegate.operators import history, paging
+from tidegate import schemas as S
+from tidegate.operators import history, paging, shape
 from tidegate.operators.ranks import exact_median
 from tidegate.plans import loads
+from tidegate.plans.adhoc import NotReadOnly, adhoc
 from tidegate.sources import sinks
+from tidegate.streaming import ingest
 
 
 @pytest.mark.parametrize("levels", [0, 1, 2])
@@ -41,3 +46,58 @@ def test_merge_refuses_keys_it_can_not_place(rows, bad):
 def test_deep_page_refuses_null_keys(rows):
     with pytest.raises(ValueError, match="no id"):
         paging.deep_page(rows([(1,), (None,), (2,)], "id long"), "id", 10, 0)
+
+
+def test_marks_do_not_move_with_the_drivers_time_zone(spark, monkeypatch):
+    """A load of three rows and a second one of one row, under a driver outside UTC."""
+    marks = spark.createDataFrame([], S.ddl(S.WATERMARK_COLUMNS))
+    now = F.lit("2024-02-01").cast("timestamp")
+
+    def arrived(*hours):
+        times = spark.createDataFrame([(h, f"2024-01-01 {h:02d}:00:00") for h in hours], "k int, t string")
+        return times.select("k", F.col("t").cast("timestamp_ntz").alias("ts"))
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        target = spark.createDataFrame([], "k int, ts timestamp_ntz")
+        first = loads.incremental_load(target, arrived(1, 2, 3), marks, "d", "ts", ["k"], "r1", now)
+        second = loads.incremental_load(first.target, arrived(3, 4, 5, 9), first.marks, "d", "ts", ["k"], "r2", now)
+        assert (first.rows_loaded, second.rows_loaded, second.target.count(), second.late.count()) == (3, 3, 6, 1)
+        assert second.marks.select(F.col("watermark_value").cast("string")).first()[0] == "2024-01-01 09:00:00"
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_whole_numbers_from_text(rows):
+    df = rows([("2.0",), ("2.5",), ("70000",), ("5d",), ("NaN",), (" 3 ",), (None,)], "n string")
+    assert [r[0] for r in shape.conform(df, {"n": "smallint"}).collect()] == [2, None, None, None, None, 3, None]
+    assert values(shape.conform_rejects(df, {"n": "smallint"}), "n") == [("2.5",), ("5d",), ("70000",), ("NaN",)]
+
+
+def test_a_batch_that_broke_off_counts_like_one_that_did_not(spark, rows, tmp_path, monkeypatch):
+    paths = ingest.Paths.under(str(tmp_path))
+    event = '{"event_type": "trip_completed", "event_time": "x", "pickup_datetime": "2024-01-01 00:00:00", "passenger_count": %s}'
+    batch = rows([(event % n,) for n in ("1.0", "1", "2", "9", "2.5")] + [("oops",)], "value string")
+    append = ingest.sinks.append
+
+    def breaks(*args):
+        append(*args)
+        raise OSError("lost")
+
+    monkeypatch.setattr(ingest.sinks, "append", breaks)
+    with pytest.raises(OSError, match="lost"):
+        ingest.ingest_batch(batch, 1, paths)
+    monkeypatch.undo()
+    for _ in range(2):
+        ingest.ingest_batch(batch, 1, paths)
+        assert spark.read.parquet(paths.table).count() == 2
+        totals = ingest.total_counters(spark.read.parquet(paths.counters)).first().asDict()
+        assert totals == {"processed": 6, "inserted": 2, "duplicates": 1, "invalid": 3}
+
+
+@pytest.mark.parametrize("text", ["SELECT java_method('java.lang.System', 'getProperty', 'user.dir')", "SELECT `reflect` ('a', 'b')", "SELECT * FROM parquet.`/tmp/x`", "SELECT * FROM `csv` . `/etc/hosts`"])
+def test_adhoc_stays_inside(spark, text):
+    with pytest.raises(NotReadOnly):
+        adhoc(spark, text)

@@ -151,7 +151,7 @@ SELECT o_orderkey, o_custkey, o_orderdate, v.c_mktsegment FROM orders LEFT JOIN
   ON o_custkey = c_custkey AND valid_from <= o_orderdate AND (valid_to IS NULL OR valid_to > o_orderdate)""")
 def as_of_join(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return H.as_of_join(orders, versions(t), ("o_custkey", "c_custkey"), "o_orderdate", ["c_mktsegment"], "o_orderkey")
+    return H.as_of_join(orders, versions(t), ("o_custkey", "c_custkey"), "o_orderdate", ["c_mktsegment"], "o_orderkey", short_histories=True)
 
 
 @query("""
@@ -164,7 +164,7 @@ def as_of_long_history(t: Tables) -> DataFrame:
     signups = t.events.where("event_type = 'signup'").selectExpr("user_id", "ts AS valid_from", "event_id AS signup_id")
     dim = with_next(signups, ["user_id"], ["valid_from", "signup_id"], {"valid_to": "valid_from"})
     facts = t.events.select("event_id", "user_id", "ts")
-    return H.as_of_join(facts, dim, ("user_id", "user_id"), "ts", ["signup_id"], "event_id", small_history=0)
+    return H.as_of_join(facts, dim, ("user_id", "user_id"), "ts", ["signup_id"], "event_id")
 
 
 # --- loads ----------------------------------------------------------------

@@ -192,16 +192,26 @@ def json_field(c: Column | str, path: str) -> Column:
     return F.get_json_object(as_column(c), path)
 
 
+def as_decimal(c: Column | str) -> Column:
+    """Number of a text, NULL when it is none; unlike a cast to double it takes no suffix (``5d``), NaN or infinity."""
+    return as_column(c).try_cast("decimal(38,12)")
+
+
 def numeric_ok(c: Column | str) -> Column:
     """Text that reads as a number (NaN does not)."""
-    number = as_column(c).try_cast("double")
-    return number.isNotNull() & ~F.isnan(number)
+    return as_decimal(c).isNotNull()
 
 
 def int_ok(c: Column | str) -> Column:
-    """Text that reads as a whole number."""
-    number = as_column(c).try_cast("double")
-    return F.coalesce(~F.isnan(number) & (number == F.floor(number)), F.lit(False))
+    """Text that reads as a whole number, ``2.0`` included."""
+    number = as_decimal(c)
+    return F.coalesce(number == F.floor(number), F.lit(False))
+
+
+def whole(c: Column | str, kind: str) -> Column:
+    """Text as an integer type: ``2.0`` is 2, while ``2.5`` and what the type doesn't hold are NULL."""
+    number = as_decimal(c)
+    return F.when(number == F.floor(number), F.floor(number)).try_cast(kind)
 
 
 # --- display --------------------------------------------------------------

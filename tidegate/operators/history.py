@@ -28,7 +28,6 @@ VERSION_COLUMNS = {
     "updated_at": "timestamp",
 }
 HASHES = {"json": row_hash, "md5_concat": attr_hash}
-SMALL_HISTORY = 32
 
 
 def _versions(src: DataFrame, key: str, attrs: Sequence[str], start: Column, now: Column, hash_name: str) -> DataFrame:
@@ -132,7 +131,7 @@ def as_of_join(
     ts: str,
     attrs: Sequence[str],
     fact_id: str,
-    small_history: int = SMALL_HISTORY,
+    short_histories: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Facts with the attributes of the version valid at their time (NULL when there is none).
@@ -140,14 +139,14 @@ def as_of_join(
     ``key`` names the key in the fact and in the dimension; ``fact_id`` is unique in
     the fact. Versions of a key must not overlap.
 
-    While no key has more than ``small_history`` versions, an equi-join on the key
-    with the validity range as a filter is bounded work per fact. Longer histories
-    are merged by time instead: each fact takes the last version started at or before
-    it, so no fact meets more than one version.
+    Facts and versions are merged by time: each fact takes the last version started at
+    or before it, so no fact meets more than one version. A caller who knows that keys
+    have few versions may say ``short_histories``: then an equi-join on the key with the
+    validity range as a filter does the work, and a small dimension is broadcast. The
+    caller chooses; no size is looked at.
     """
     fact_key, dim_key = key
-    longest = dim.groupBy(dim_key).count().agg(F.max("count")).first()[0] or 0
-    if longest <= small_history:
+    if short_histories:
         return _range_join(fact, dim, fact_key, dim_key, ts, attrs)
     return _merge_by_time(fact, dim, fact_key, dim_key, ts, attrs, fact_id, rows_per_slice)
 

@@ -7,6 +7,11 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidegate.functions.scalars import whole
+
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -23,9 +28,27 @@ def align(df: DataFrame, layout: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in layout.items()])
 
 
+def _typed(df: DataFrame, column: str, kind: str) -> Column:
+    """The column in its new type; text such as ``2.0`` is a whole number."""
+    from_text = isinstance(df.schema[column].dataType, T.StringType) and kind in WHOLE_TYPES
+    return whole(column, kind) if from_text else F.col(column).try_cast(kind)
+
+
 def conform(df: DataFrame, layout: Mapping[str, str]) -> DataFrame:
-    """Align and cast; a value that does not fit its type becomes NULL."""
-    return align(df, layout).select(*[F.col(c).try_cast(t).alias(c) for c, t in layout.items()])
+    """Align and cast; a value that does not fit its type becomes NULL, and :func:`conform_rejects` has its row."""
+    aligned = align(df, layout)
+    return aligned.select(*[_typed(aligned, c, t).alias(c) for c, t in layout.items()])
+
+
+def misfits(df: DataFrame, layout: Mapping[str, str]) -> Column:
+    """Names of the columns whose value does not fit the type that ``layout`` gives it."""
+    lost = [F.when(F.col(c).isNotNull() & _typed(df, c, t).isNull(), F.lit(c)) for c, t in layout.items() if c in df.columns]
+    return F.array_compact(F.array(*lost))
+
+
+def conform_rejects(df: DataFrame, layout: Mapping[str, str]) -> DataFrame:
+    """The rows of which :func:`conform` would make a value NULL, as they came, with ``misfits``."""
+    return compute_once(df, {"misfits": misfits(df, layout)}).where(F.size("misfits") > 0)
 
 
 def ensure_columns(df: DataFrame, layout: Mapping[str, str]) -> DataFrame:

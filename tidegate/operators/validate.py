@@ -26,10 +26,12 @@ def event_error(
     positive: Sequence[str] = EVENT_POSITIVE,
     count: tuple[str, int, int] | None = ("passenger_count", PASSENGERS_MIN, PASSENGERS_MAX),
     timestamps: Sequence[str] = ("pickup_datetime",),
+    misfit: Column | None = None,
 ) -> Column:
     """First broken rule of an event whose fields are text, NULL for a valid event.
 
-    Order: required fields, event type, positive numbers, count range, timestamps.
+    Order: required fields, event type, positive numbers, count range, timestamps, and last
+    ``misfit``, the names of the fields that their table types don't hold.
     """
     rules = [(F.col(f).isNull(), F.lit(f"Required field '{f}' is missing or null")) for f in required]
     rules.append(
@@ -47,6 +49,8 @@ def event_error(
     for f in timestamps:
         bad = F.col(f).isNotNull() & F.col(f).try_cast("timestamp").isNull()
         rules.append((bad, _text(f"Field '{f}' must be a timestamp, got '", F.col(f))))
+    if misfit is not None:
+        rules.append((F.size(misfit) > 0, F.concat(F.lit("Outside the table's type: "), F.array_join(misfit, ", "))))
     chain = reduce(lambda acc, rule: acc.when(rule[0], rule[1]), rules, F)
     return chain.otherwise(F.lit(None).cast("string"))
 

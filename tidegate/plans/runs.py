@@ -73,16 +73,27 @@ def mark_finished(log: DataFrame, ends: DataFrame) -> DataFrame:
 # --- watermarks -----------------------------------------------------------
 
 
+def micros(at: int | None) -> Column | None:
+    """A moment in microseconds since the epoch as a constant; it means the same in every time zone."""
+    return None if at is None else F.timestamp_micros(F.lit(at))
+
+
 def get_watermark(marks: DataFrame, dataset: str) -> datetime | None:
-    """The stored mark, or None. Reads one row."""
+    """The stored mark to show, or None. Loads use :func:`mark_of`, as a datetime here is in the driver's zone."""
     row = marks.where(F.col("dataset_name") == dataset).select("watermark_value").first()
     return row.watermark_value if row else None
 
 
+def mark_of(marks: DataFrame, dataset: str) -> Column | None:
+    """The stored mark as a constant column, or None. Reads one row; the driver's time zone plays no part."""
+    row = marks.where(F.col("dataset_name") == dataset).select(F.unix_micros("watermark_value").alias("at")).first()
+    return micros(row.at) if row else None
+
+
 def update_watermark(
     marks: DataFrame,
     dataset: str,
-    value: datetime,
+    value: Column | datetime,
     rows_loaded: int,
     run_id: str,
     now: Column,
@@ -91,7 +102,7 @@ def update_watermark(
 ) -> DataFrame:
     """Store a load's mark, adding the dataset when it is new.
 
-    ``monotonic`` keeps the larger of the old and the new mark.
+    ``monotonic`` keeps the larger of the old and the new mark. A naive datetime is read in the session's time zone.
     """
     spark = marks.sparkSession
     schema, table, column = source
@@ -100,7 +111,7 @@ def update_watermark(
         "dataset_name",
         *[F.col(c).alias(f"_{c}") for c in ("source_schema", "source_table", "watermark_column", "watermark_value", "created_at")],
     )
-    mark = F.lit(value).cast("timestamp")
+    mark = (F.lit(str(value)) if isinstance(value, datetime) else value).cast("timestamp")
     row = one.join(old, "dataset_name", "left").select(
         "dataset_name",
         F.coalesce("_source_schema", F.lit(schema)).alias("source_schema"),

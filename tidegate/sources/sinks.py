@@ -114,7 +114,7 @@ def install_slices(spark: SparkSession, staged: str, path: str, column: str, tou
     emptied = before.exceptAll(fresh.select(column).distinct()).collect()
     reload_slices(fresh, path, column)
     for (value,) in emptied:
-        _remove(spark, f"{path}/{column}={NULL_SLICE if value is None else value}")
+        remove(spark, f"{path}/{column}={NULL_SLICE if value is None else value}")
     spark.catalog.refreshByPath(path)
 
 
@@ -123,11 +123,17 @@ def _path(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     files, target = _path(spark, path)
     files.delete(target, True)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this folder has finished."""
+    files, target = _path(spark, f"{path}/_SUCCESS")
+    return files.exists(target)
+
+
 def slice_filter(df: DataFrame, column: str) -> Column:
     """Predicate for the slices that occur in ``df``, as constants so that it prunes partitions.
 

@@ -1,8 +1,10 @@
 """Stream to table: parse, validate, split, deduplicate, write.
 
-A micro-batch may be run again after a failure, so every write is repeatable: valid
-rows are matched against the table by hash, rejected rows and counters live in one
-folder per batch that a repeat overwrites.
+A micro-batch may be run again after a failure, so every write is repeatable. The rows a
+batch adds are staged in a folder of the batch before they are appended; a repeat appends
+those of them that the table still lacks and counts the staged rows, so its counters are
+those of the first run. Counters are written last: a batch that has them is done. Rejected
+rows live in one folder per batch that a repeat overwrites.
 """
 
 from __future__ import annotations
@@ -16,7 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.operators.validate import validate_events
-from tidegate.plans.loads import append_new
+from tidegate.operators.mutate import dedup, new_rows
+from tidegate.operators.shape import misfits
+from tidegate.schemas import EVENT_PAYLOAD
+from tidegate.sources import sinks
 from tidegate.streaming.events import event_to_row, parse_events
 
 Prepare = Callable[[DataFrame], DataFrame]
@@ -24,16 +29,17 @@ Prepare = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Paths:
-    """Where an ingest writes: table, rejected events, counters and checkpoint."""
+    """Where an ingest writes: table, rejected events, counters, checkpoint and the rows of unfinished batches."""
 
     table: str
     rejected: str
     counters: str
     checkpoint: str
+    pending: str
 
     @classmethod
     def under(cls, root: str) -> Paths:
-        return cls(*[f"{root.rstrip('/')}/{name}" for name in ("table", "rejected", "counters", "checkpoint")])
+        return cls(*[f"{root.rstrip('/')}/{name}" for name in ("table", "rejected", "counters", "checkpoint", "pending")])
 
 
 def route(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -42,7 +48,9 @@ def route(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def check_trip_events(raw: DataFrame) -> DataFrame:
-    return validate_events(parse_events(raw))
+    """Every event that passes is held by the table's types; the others are rejected, so no value is lost on the way."""
+    parsed = parse_events(raw)
+    return validate_events(parsed, misfit=misfits(parsed, EVENT_PAYLOAD))
 
 
 def ingest_batch(
@@ -55,6 +63,11 @@ def ingest_batch(
     slice_column: str = "pickup_date",
 ) -> None:
     """One micro-batch. The parsed batch is kept while its outputs are written."""
+    spark, key = raw.sparkSession, ["source_row_hash"]
+    counted, pending = f"{paths.counters}/batch_id={batch_id}", f"{paths.pending}/batch_id={batch_id}"
+    if sinks.is_complete(spark, counted):
+        sinks.remove(spark, pending)
+        return
     checked = check(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         valid, invalid = route(checked)
@@ -63,7 +76,15 @@ def ingest_batch(
         rows = to_row(valid)
         if slice_ts is not None:
             rows = rows.withColumn(slice_column, F.to_date(slice_ts))
-        inserted = append_new(rows, paths.table, ["source_row_hash"], slice_column if slice_ts else None)
+        sliced = slice_column if slice_ts is not None else None
+        repeated = sinks.is_complete(spark, pending)
+        if not repeated:
+            held = sinks.read_slices(rows, paths.table, sliced)
+            (dedup(rows, key) if held is None else new_rows(held, rows, key)).write.mode("overwrite").parquet(pending)
+        staged = spark.read.schema(rows.schema).parquet(pending)
+        held = sinks.read_slices(staged, paths.table, sliced) if repeated else None
+        sinks.append(staged if held is None else new_rows(held, staged, key), paths.table, [sliced] if sliced else [])
+        inserted = staged.count()
         counters = checked.agg(
             F.count(F.lit(1)).alias("processed"), F.count_if(F.col("error").isNotNull()).alias("invalid")
         ).select(
@@ -72,7 +93,8 @@ def ingest_batch(
             (F.col("processed") - F.col("invalid") - inserted).alias("duplicates"),
             "invalid",
         )
-        counters.write.mode("overwrite").parquet(f"{paths.counters}/batch_id={batch_id}")
+        counters.write.mode("overwrite").parquet(counted)
+        sinks.remove(spark, pending)
     finally:
         checked.unpersist()
 
