@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.bindings import Tables, query
-from tidegate.bindings.shapes import NOW, now
+from tidegate.bindings.shapes import NOW, marks, now
 from tidegate.functions import scalars as X
 from tidegate.operators import aggregates as A
 from tidegate.operators import filters as P
@@ -15,6 +17,8 @@ from tidegate.operators import shape as S
 from tidegate.operators.history import lookup
 from tidegate.operators.paging import page
 from tidegate.operators.validate import Field, insert_validated
+from tidegate.plans.loads import incremental_load
+from tidegate.plans.runs import update_watermark
 from tidegate.session import staging_path
 from tidegate.sources.files import literal_rows, read_table
 from tidegate.streaming.ingest import Paths, ingest_stream
@@ -150,12 +154,14 @@ def _accounts(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query("""
 SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance FROM supplier
-UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal >= 0""")
+UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey >= 1 AND c_acctbal >= 0""")
 def inserted_payloads(t: Tables) -> DataFrame:
     return _accounts(t)[0]
 
 
-@query("SELECT c_custkey AS id, 'balance' AS path, 'must be at least 0' AS message FROM customer WHERE c_acctbal < 0")
+@query("""
+SELECT c_custkey AS id, 'balance' AS path, 'must be at least 0' AS message FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT c_custkey, 'id', 'must be at least 1' FROM customer WHERE c_custkey < 1""")
 def rejected_payloads(t: Tables) -> DataFrame:
     rejected = _accounts(t)[1]
     return rejected.select(X.json_field("body", "$.id").cast("bigint").alias("id"), F.inline("errors"))
@@ -173,6 +179,18 @@ def _typed_ingest(t: Tables) -> Paths:
     return paths
 
 
+@query(f"""
+SELECT event_id, event_type, value, NULL::BIGINT AS id, NULL::TIMESTAMP AS loaded_at FROM events WHERE ts <= TIMESTAMP '2024-01-15'
+UNION ALL SELECT event_id, event_type, value, row_number() OVER (ORDER BY event_id), TIMESTAMP '{NOW}' FROM events WHERE ts > TIMESTAMP '2024-01-15'
+""")
+def loaded_rows_with_ids(t: Tables) -> DataFrame:
+    """Rows above the mark are new to a table of the older ones; they get ids and a load stamp."""
+    rows = t.events.select("event_id", "ts", "event_type", "value")
+    held = rows.where("ts <= TIMESTAMP_NTZ'2024-01-15'").withColumns({"id": F.lit(None).cast("bigint"), "loaded_at": F.lit(None).cast("timestamp")})
+    mark = update_watermark(marks(t), "events", datetime(2024, 1, 15), 0, "run 1", now())
+    return incremental_load(held, rows, mark, "events", "ts", ["event_id"], "run 2", now()).target.drop("ts")
+
+
 @query("""
 SELECT DISTINCT event_id % 40000 AS vendor_id, 1 + event_id % 6 AS passenger_count, 12.5::DOUBLE AS fare_amount
 FROM events WHERE event_id % 4 >= 2 AND event_id % 40000 <= 32767""")
