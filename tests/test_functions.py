@@ -66,6 +66,8 @@ def test_average_rounds_half_away_from_zero(rows):
     assert one(df.where("false").agg(X.round_avg("c", 2).alias("a")))["a"] is None
     assert one(df.agg(X.round_avg("c", 4).alias("a")))["a"] == Decimal("0.0150")
     assert one(df.agg(X.round_avg("c", 0).alias("a")))["a"] == Decimal("0")
+    fine = df.sparkSession.createDataFrame([(0.044,), (0.064,)], "c double")
+    assert one(fine.agg(X.round_avg("c", 3).alias("a")))["a"] == Decimal("0.054")
 
 
 def test_durations(rows):

@@ -64,14 +64,50 @@ def test_reload_slices_replaces_only_those_present(spark, table):
     assert contents(spark, table) == [(1, "2024-01-01", 1), (4, None, 4), (9, "2024-01-02", 9)]
 
 
-def test_slice_filter_falls_back_to_a_range(spark, table, monkeypatch):
-    monkeypatch.setattr(sinks, "SLICES_LISTED", 1)
-    held = sinks.read_slices(dated(spark, [(1, "2024-01-01", 1), (1, "2024-01-02", 1)]), table, "day")
-    assert held.count() == 4
-    monkeypatch.setattr(sinks, "SLICES_LISTED", 10)
+def test_exactly_the_slices_listed_are_read(spark, table):
+    both = sinks.read_slices(dated(spark, [(1, "2024-01-01", 1), (1, "2024-01-02", 1)]), table, "day")
+    assert values(both, "k") == [(1,), (2,), (3,)]
+    holes = sinks.read_slices(dated(spark, [(1, "2024-01-01", 1), (1, None, 1)]), table, "day")
+    assert values(holes, "k") == [(1,), (4,)]
+    none = sinks.read_slices(dated(spark, []), table, "day")
+    assert none.count() == 0
     listed = sinks.read_slices(dated(spark, [(1, "2024-01-02", 1)]), table, "day")
     plan = listed._jdf.queryExecution().executedPlan().toString()
-    assert listed.count() == 2 and "PartitionFilters: [day" in plan.replace("isnotnull(day", "day")
+    assert listed.count() == 2 and "dynamicpruning" in plan
+    assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [day" in plan
+
+
+def test_many_slices_are_merged_one_by_one(spark, tmp_path):
+    path = str(tmp_path / "many")
+    sinks.append(spark.range(300).selectExpr("id", "id AS v", "id AS slice"), path, ["slice"])
+    before = {d: os.listdir(f"{path}/{d}") for d in os.listdir(path) if "=" in d}
+    L.merge_slices(spark.range(0, 300, 3).selectExpr("id", "-id AS v", "id AS slice"), path, ["id"], "slice", slices_move=False)
+    assert values(spark.read.parquet(path), "id", "v") == sorted([(i, i if i % 3 else -i) for i in range(300)], key=repr)
+    assert all((os.listdir(f"{path}/slice={i}") == before[f"slice={i}"]) == bool(i % 3) for i in range(300))
+
+
+def test_incremental_append_writes_only_new_rows(spark, tmp_path):
+    path, now = str(tmp_path / "t"), F.lit("2024-02-01").cast("timestamp")
+    marks = spark.createDataFrame([], S.ddl(S.WATERMARK_COLUMNS))
+
+    def load(marks, *data, lookback=None):
+        rows = spark.createDataFrame([(k, datetime(2024, 1, d)) for k, d in data], "k string, ts timestamp")
+        return L.incremental_append(path, rows, marks, "d", "ts", ["k"], "r", now, lookback=lookback)
+
+    first = load(marks, ("b", 1), ("a", 2), ("a", 2))
+    files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
+    second = load(first.marks, ("a", 2), ("c", 3), ("d", 1), lookback="2 days")
+    assert (first.rows_loaded, first.rows_added, second.rows_loaded, second.rows_added, second.late.count()) == (2, 2, 3, 2, 2)
+    assert set(files) < set(os.listdir(path))
+    assert values(spark.read.parquet(path), "id", "k") == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+    again = load(second.marks, ("a", 2))
+    assert (again.rows_loaded, again.rows_added) == (0, 0) and values(again.marks) == values(second.marks)
+
+
+def test_old_generations_go(spark, tmp_path):
+    for n in range(4):
+        L.full_refresh(spark.range(n), "generations", str(tmp_path), keep=2)
+    assert len(os.listdir(tmp_path / "generations")) == 2 and spark.table("generations").count() == 3
 
 
 def test_partitioned_write(spark, tmp_path):

@@ -311,7 +311,7 @@ SELECT date_trunc('hour', ts) AS "hour", count(*) AS total_trips,
        {avg_sql(f"sum({VALUE_C})", "count(value)", 2)} AS avg_value, CAST(sum(user_id) AS BIGINT) AS total_users
 FROM events WHERE ts IS NOT NULL GROUP BY 1""")
 def hourly_raw(t: Tables) -> DataFrame:
-    return A.hourly_rollup(t.events, "ts", {"avg_value": ("value", 2)}, {"total_users": "user_id"})
+    return A.hourly_rollup(t.events, "ts", {"avg_value": ("value", 2)}, {"total_users": "user_id"}, scale=2)
 
 
 @query(f"""WITH {TRIPS_SQL}

@@ -191,10 +191,23 @@ def merge_touched_slices(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).drop("day")
 
 
+@query("SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 'moved' WHEN user_id % 3 = 1 THEN event_type END AS kind, value FROM events")
+def merge_text_slices(t: Tables) -> DataFrame:
+    """Text slices, one of them NULL: a third of the users moves to a new slice, a third to none."""
+    path = staging_path(t.spark, "kinds")
+    rows = t.events.select("event_id", F.col("event_type").alias("kind"), "value", "user_id")
+    sinks.append(rows.drop("user_id"), path, ["kind"])
+    moved = rows.where("user_id % 3 <> 1").withColumn("kind", F.expr("CASE WHEN user_id % 3 = 0 THEN 'moved' END")).drop("user_id")
+    loads.merge_slices(moved, path, ["event_id"], "kind")
+    return t.spark.read.schema(moved.schema).parquet(path)
+
+
 @query("SELECT * FROM orders")
 def full_refresh(t: Tables) -> DataFrame:
+    """Three generations with other totals go before; two copies stay."""
     root = staging_path(t.spark, "tables")
-    loads.full_refresh(t.orders.limit(0), "refreshed_orders", root)
+    for factor in (2, 3, 4):
+        loads.full_refresh(t.orders.withColumn("o_totalprice", F.col("o_totalprice") * factor), "refreshed_orders", root)
     loads.full_refresh(t.orders, "refreshed_orders", root)
     return t.spark.table("refreshed_orders")
 

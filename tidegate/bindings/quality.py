@@ -148,7 +148,41 @@ def trip_contract(t: Tables) -> DataFrame:
     return contract_check(landed_trips(t), "trips", TRIP_CONTRACT, TRIP_GUARANTEES)
 
 
-@query()
+#: What makes two trips of these tables equal: the hash covers the values of its columns, so equal hashes are equal values.
+TRIP_VALUES = (
+    "l_linenumber, o_orderdate, l_shipdate, l_quantity, l_suppkey % 10, l_partkey % 10, l_partkey % 8, l_linestatus, l_suppkey % 8,"
+    " round(l_extendedprice * 100), round(l_tax * 100000), round(l_discount * 10000)"
+)
+
+
+def trip_test_sql(check: str, column: str, unexpected: str) -> str:
+    return (
+        f"SELECT 'trips' AS suite, '{check}' AS \"check\", '{column}' AS \"column\", {unexpected} = 0 AS success, CAST({unexpected} AS DOUBLE) AS observed, "
+        f"CAST({unexpected} AS BIGINT) AS unexpected_count, 100.0::DOUBLE * CAST({unexpected} AS BIGINT) / n AS unexpected_pct FROM figures"
+    )
+
+
+@query(
+    f"""
+WITH rows AS (
+  SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey) AS same_id, count(*) OVER (PARTITION BY {TRIP_VALUES}) AS same_values
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+figures AS (
+  SELECT count(*) AS n, count(*) FILTER (same_id > 1) AS ids, count(*) FILTER (same_values > 1) AS hashes,
+         count(*) FILTER (l_linenumber NOT BETWEEN 1 AND 6) AS crowded FROM rows)
+"""
+    + " UNION ALL ".join(
+        [
+            trip_test_sql("not_null", "id", "0"),
+            trip_test_sql("unique", "id", "ids"),
+            trip_test_sql("not_null", "pickup_datetime", "0"),
+            trip_test_sql("in_set", "passenger_count", "crowded"),
+            trip_test_sql("not_null", "fare_amount", "0"),
+            trip_test_sql("not_null", "source_row_hash", "0"),
+            trip_test_sql("unique", "source_row_hash", "hashes"),
+        ]
+    )
+)
 def trip_source_tests(t: Tables) -> DataFrame:
     return Q.run_suite(landed_trips(t), "trips", TRIP_SOURCE_TESTS)
 

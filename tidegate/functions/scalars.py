@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tidegate.schemas import OPEN_END
 
+#: Places kept of binary numbers when they are averaged.
+DECIMALS = 6
 MICROS = {"microsecond": 1, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6}
 
 
@@ -115,14 +117,18 @@ def ratio_pct(num: Column | str, den: Column | str, dp: int = 1, scale: int = 2)
     return F.when(b > 0, pct).otherwise(F.lit(0).cast(f"decimal(20,{dp})"))
 
 
-def round_avg(c: Column | str, dp: int, scale: int = 2, count: Column | None = None) -> Column:
-    """Aggregate: average rounded half away from zero, free of binary rounding.
+def round_avg(c: Column | str, dp: int, scale: int | None = None, count: Column | None = None) -> Column:
+    """Aggregate: average rounded half away from zero once, free of binary rounding.
 
-    ``scale`` is the number of decimals the input carries. Partial sums are BIGINT,
-    so the result does not depend on the order in which partitions are merged.
+    ``scale`` is the number of decimals the input carries, if known; partial sums are
+    BIGINT then. Otherwise they are decimals of ``DECIMALS`` places. Either way the
+    result does not depend on the order in which partitions are merged.
     """
     n = F.count(as_column(c)) if count is None else count
-    return mean_of_units(F.sum(unscaled(c, scale)), n, dp, scale)
+    if scale is not None:
+        return mean_of_units(F.sum(unscaled(c, scale)), n, dp, scale)
+    total = F.sum(as_column(c).cast(f"decimal(28,{DECIMALS})"))
+    return mean_of_units((total * F.lit(10**DECIMALS)).cast("decimal(38,0)"), n, dp, DECIMALS)
 
 
 def mean_of_units(total: Column, n: Column, dp: int, scale: int = 2) -> Column:

@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions.scalars import (
     as_column,
@@ -20,8 +21,15 @@ from tidegate.functions.scalars import (
 Averages = Mapping[str, tuple[Column | str, int]]
 
 
-def _averages(averages: Averages, scale: int) -> list[Column]:
-    return [round_avg(c, dp, scale).alias(name) for name, (c, dp) in averages.items()]
+def own_scale(df: DataFrame, c: Column | str) -> int | None:
+    """Decimals that the column's type allows; None for binary numbers."""
+    kind = df.select(as_column(c)).schema[0].dataType
+    return kind.scale if isinstance(kind, T.DecimalType) else 0 if isinstance(kind, T.IntegralType) else None
+
+
+def _averages(df: DataFrame, averages: Averages, scale: int | None) -> list[Column]:
+    """Averages rounded once; ``scale`` is the decimals that the inputs carry, by default those of their types."""
+    return [round_avg(c, dp, own_scale(df, c) if scale is None else scale).alias(name) for name, (c, dp) in averages.items()]
 
 
 def _rate(flag: Column, dp: int) -> Column:
@@ -38,7 +46,7 @@ def time_rollup(
     unit: str = "hour",
     keys: Sequence[str] = (),
     count: str = "total_trips",
-    scale: int = 2,
+    scale: int | None = None,
     bucket: str | None = None,
 ) -> DataFrame:
     """Counts, rounded averages ``{name: (column, places)}`` and sums per time bucket and key."""
@@ -47,17 +55,17 @@ def time_rollup(
         .groupBy(F.date_trunc(unit, ts).alias(bucket or unit), *keys)
         .agg(
             F.count(F.lit(1)).alias(count),
-            *_averages(averages, scale),
+            *_averages(df, averages, scale),
             *[F.sum(c).cast("bigint").alias(name) for name, c in sums.items()],
         )
     )
 
 
-def hourly_rollup(df: DataFrame, ts: str, averages: Averages, sums: Mapping[str, str], scale: int = 2) -> DataFrame:
+def hourly_rollup(df: DataFrame, ts: str, averages: Averages, sums: Mapping[str, str], scale: int | None = None) -> DataFrame:
     return time_rollup(df, ts, averages, sums, "hour", scale=scale)
 
 
-def daily_rollup(df: DataFrame, ts: str, keys: Sequence[str], averages: Averages, scale: int = 2) -> DataFrame:
+def daily_rollup(df: DataFrame, ts: str, keys: Sequence[str], averages: Averages, scale: int | None = None) -> DataFrame:
     """Readings and averages per day and key."""
     return time_rollup(df, ts, averages, {}, "day", keys, count="readings", scale=scale)
 
@@ -72,7 +80,7 @@ def rate_summary(
     hits: str = "survivors",
     rate: str = "survival_rate_pct",
     dp: int = 2,
-    scale: int = 4,
+    scale: int | None = None,
 ) -> DataFrame:
     """Per key pair: rows, rows with the flag, rate in percent and averages.
 
@@ -84,7 +92,7 @@ def rate_summary(
         F.count(F.lit(1)).alias(count),
         F.count_if(flag).alias(hits),
         _rate(flag, dp).alias(rate),
-        *_averages(averages, scale),
+        *_averages(df, averages, scale),
     )
 
 
@@ -92,7 +100,7 @@ def fact_stats(df: DataFrame, averages: Averages, money: Mapping[str, str], sums
     """One row: count, averages, money totals at two places, integer totals."""
     return df.agg(
         F.count(F.lit(1)).alias("total_trips"),
-        *_averages(averages, 2),
+        *_averages(df, averages, None),
         *[from_units(F.sum(unscaled(c, 2)), 2).alias(name) for name, c in money.items()],
         *[F.sum(c).cast("bigint").alias(name) for name, c in sums.items()],
     )
@@ -172,10 +180,10 @@ def value_range(df: DataFrame, column: str) -> tuple[float, float]:
     return row.lo, row.hi
 
 
-def group_mean(df: DataFrame, keys: Sequence[str], column: Column | str, dp: int = 4, scale: int = 4) -> DataFrame:
+def group_mean(df: DataFrame, keys: Sequence[str], column: Column | str, dp: int = 4, scale: int | None = None) -> DataFrame:
     """Mean per group over known values; groups with no key or no value stay out."""
     rows = df.dropna(subset=list(keys)).where(as_column(column).isNotNull())
-    return rows.groupBy(*keys).agg(round_avg(column, dp, scale).alias("mean"))
+    return rows.groupBy(*keys).agg(round_avg(column, dp, own_scale(df, column) if scale is None else scale).alias("mean"))
 
 
 def top_groups(df: DataFrame, key: str, units: Column, n: int, name: str = "mean") -> DataFrame:

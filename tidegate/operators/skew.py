@@ -6,26 +6,29 @@ consecutive ranges of the order columns. The operators then work per
 ``(key, slice)`` and carry one small summary row per slice across the cuts, so the
 result is the same as over the whole group.
 
-Cut points come from a random sample, read once and kept as constants of the plan.
-They only decide where to cut, never what the result is.
+Hot keys are those whose counted rows exceed a slice. Their cut points come from a
+sample of those keys' rows, put in order on the executors and landed, so retries see
+the same cuts. They only decide where to cut, never what the result is.
 """
 
 from __future__ import annotations
 
 import bisect
-import math
-from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidegate.sources.sinks import land
 
 SLICE = "_slice"
 ROWS_PER_SLICE = 2_000_000
-SAMPLE_ROWS = 40_000
+#: Slices of a whole table; beyond ``MOST_SLICES * ROWS_PER_SLICE`` rows the slices grow, so the table of cuts doesn't.
+MOST_SLICES = 100_000
+#: Sampled rows per slice; the cuts are every so many of them.
+SAMPLED = 8
 
 
 @dataclass(frozen=True)
@@ -58,24 +61,17 @@ def _match(df: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> Data
     return df.join(renamed, same, how).drop(*[f"_on_{c}" for c in on])
 
 
-def slice_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    rows_per_slice: int = ROWS_PER_SLICE,
-    sample_rows: int = SAMPLE_ROWS,
-) -> Sliced:
+def slice_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> Sliced:
     """Number the rows of hot keys by consecutive ranges of ``order`` (ascending).
 
     ``order`` should be a total order (end it with a unique column): rows equal on
-    all of it stay in one slice. Keys below ``rows_per_slice`` rows are left whole.
-    Tables that small as a whole cost one row count and nothing else.
+    all of it stay in one slice. Keys of up to ``rows_per_slice`` rows are left whole.
+    A table no larger than that as a whole costs one row count and nothing else.
     """
     keys, order = tuple(keys), tuple(order)
-    hot = _cut_points(df, keys, order, rows_per_slice, sample_rows)
-    if not hot:
+    table = _cut_table(df, keys, order, rows_per_slice)
+    if table is None:
         return Sliced(df.withColumn(SLICE, F.lit(0)), keys, order, None)
-    table = _cut_table(df, keys, order, hot)
     position = F.struct(*[F.col(c) for c in order])
     found = _match(df, table, keys, "left").withColumn("_block", _cuts_passed(F.col("_heads"), position))
     width = F.size(F.element_at("_blocks", 1))
@@ -89,45 +85,34 @@ def _cuts_passed(cuts: Column, position: Column) -> Column:
     return F.when(cuts.isNotNull(), F.size(F.filter(cuts, lambda cut: cut <= position))).otherwise(0)
 
 
-def _cut_points(df, keys, order, rows_per_slice, sample_rows) -> dict[tuple, list[tuple]]:
-    total = df.count()
-    if total <= rows_per_slice:
-        return {}
-    fraction = min(1.0, sample_rows / total)
-    sample = defaultdict(list)
-    for row in df.select(*keys, *order).sample(fraction).collect():
-        sample[tuple(row[: len(keys)])].append(tuple(row[len(keys) :]))
-    cuts = {}
-    for key, values in sample.items():
-        slices = math.ceil(len(values) / fraction / rows_per_slice)
-        if slices > 1 and len(values) > 1:
-            values.sort(key=_null_first)
-            step = max(1, len(values) // slices)
-            points = values[step::step]
-            cuts[key] = [p for i, p in enumerate(points) if i == 0 or p != points[i - 1]]
-    return {key: points for key, points in cuts.items() if points}
-
-
 def _null_first(values: tuple) -> tuple:
     return tuple((v is not None, v) for v in values)
 
 
-def _cut_table(df: DataFrame, keys, order, cuts: dict[tuple, list[tuple]]) -> DataFrame:
-    """Cut points per key in two levels, so that finding a slice takes about 2*sqrt(n) comparisons."""
-    point = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
-    schema = T.StructType(
-        [T.StructField(k, df.schema[k].dataType) for k in keys]
-        + [
-            T.StructField("_heads", T.ArrayType(point)),
-            T.StructField("_blocks", T.ArrayType(T.ArrayType(point))),
-        ]
-    )
-    rows = []
-    for key, points in cuts.items():
-        step = math.isqrt(len(points)) or 1
-        blocks = [points[i : i + step] for i in range(0, len(points), step)]
-        rows.append((*key, [b[0] for b in blocks], blocks))
-    return df.sparkSession.createDataFrame(rows, schema)
+def _cut_table(df: DataFrame, keys: tuple, order: tuple, rows_per_slice: int) -> DataFrame | None:
+    """Cut points of the hot keys, or None if there are none.
+
+    Two levels, so that finding a slice takes about 2*sqrt(n) comparisons. At most
+    ``MOST_SLICES`` keys are hot, and about as many cuts are made in all.
+    """
+    total = df.count()
+    if total <= rows_per_slice:
+        return None
+    rows_per_slice = max(rows_per_slice, total // MOST_SLICES)
+    hot, n = land(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_slice).select(*keys), "hot")
+    if not n:
+        return None
+    rate = min(1.0, SAMPLED / rows_per_slice)
+    sample = _match(df.select(*keys, F.struct(*order).alias("_at")), hot, keys, "left_semi").where(F.rand(17) < rate)
+    every = max(1, round(rows_per_slice * rate))
+    points = sample.groupBy(*keys).agg(F.sort_array(F.collect_list("_at")).alias("_at")).where(F.size("_at") > every)
+    picked = F.transform(F.sequence(F.lit(every), F.size("_at") - 1, F.lit(every)), lambda i: F.get("_at", i))
+    cuts = points.select(*keys, F.array_distinct(picked).alias("_cuts"))
+    width = F.ceil(F.sqrt(F.size("_cuts"))).cast("int")
+    starts = F.sequence(F.lit(1), F.size("_cuts"), width)
+    blocks = cuts.select(*keys, F.transform(starts, lambda i: F.slice("_cuts", i, width)).alias("_blocks"))
+    table, n = land(blocks.select(*keys, F.transform("_blocks", lambda b: F.get(b, F.lit(0))).alias("_heads"), "_blocks"), "cuts")
+    return table if n else None
 
 
 def slice_of(points: Sequence[tuple], position: tuple) -> int:

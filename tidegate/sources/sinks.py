@@ -16,7 +16,6 @@ from pyspark.sql.types import StructType
 
 from tidegate.session import staging_path
 
-SLICES_LISTED = 10_000
 NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -40,7 +39,11 @@ def land(df: DataFrame, label: str = "load") -> tuple[DataFrame, int]:
 
     What follows reads the copy, so a lost executor does not repeat the work before it.
     """
-    path = staging_path(df.sparkSession, label)
+    return landed(df, staging_path(df.sparkSession, label))
+
+
+def landed(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """The same at a path of the caller's, who can :func:`remove` the copy when nothing reads it any more."""
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"]
@@ -64,6 +67,14 @@ def publish(df: DataFrame, table: str, root: str) -> str:
     return path
 
 
+def drop_generations(spark: SparkSession, table: str, root: str, keep: int = 2) -> None:
+    """Remove all but the newest ``keep`` copies of a table; a reader may still be at the one before the last."""
+    files, folder = _path(spark, f"{root.rstrip('/')}/{table}")
+    found = sorted(files.listStatus(folder), key=lambda s: s.getModificationTime())
+    for status in found[: max(0, len(found) - keep)]:
+        files.delete(status.getPath(), True)
+
+
 # --- slices ---------------------------------------------------------------
 
 
@@ -90,30 +101,32 @@ def reload_slices(df: DataFrame, path: str, column: str) -> None:
     )
 
 
-def replace_slices(df: DataFrame, path: str, column: str, touched: Column) -> str:
+def replace_slices(df: DataFrame, path: str, column: str, slices: DataFrame) -> str:
     """Stage the new content of the touched slices, then install it. ``df`` may read the table.
 
-    Returns the staged path. Should the driver be lost while installing, running
+    ``slices`` lists them in a column of that name. Returns the staged path, which may be
+    removed afterwards. Should the driver be lost while installing, running
     :func:`install_slices` on it again completes the change.
     """
     spark = df.sparkSession
     staged = staging_path(spark, "slices")
     _rebalanced(df, [column]).write.partitionBy(column).parquet(staged)
-    install_slices(spark, staged, path, column, touched, df.schema)
+    install_slices(spark, staged, path, column, slices, df.schema)
     return staged
 
 
-def install_slices(spark: SparkSession, staged: str, path: str, column: str, touched: Column, schema: StructType | None = None) -> None:
+def install_slices(spark: SparkSession, staged: str, path: str, column: str, slices: DataFrame, schema: StructType | None = None) -> None:
     """Copy staged slices over those of the table and remove the slices that became empty.
 
     ``schema`` is the table's; without it a text slice such as ``01`` would be read as a number.
     """
     held = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
     fresh = spark.read.schema(held.schema).parquet(staged)
-    before = held.where(touched).select(column).distinct()
-    emptied = before.exceptAll(fresh.select(column).distinct()).collect()
+    before = in_slices(held, slices, column).select(column).distinct()
+    # Folders of the table, which the driver lists for every read anyway; they come one partition at a time.
+    emptied = land(before.exceptAll(fresh.select(column).distinct()), "emptied")[0]
     reload_slices(fresh, path, column)
-    for (value,) in emptied:
+    for (value,) in emptied.toLocalIterator():
         remove(spark, f"{path}/{column}={NULL_SLICE if value is None else value}")
     spark.catalog.refreshByPath(path)
 
@@ -134,19 +147,24 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def slice_filter(df: DataFrame, column: str) -> Column:
-    """Predicate for the slices that occur in ``df``, as constants so that it prunes partitions.
+def slices_of(df: DataFrame, column: str) -> DataFrame:
+    """The slices that occur in ``df``, each once, landed."""
+    return land(df.select(column).distinct(), "touched")[0]
+
+
+def in_slices(table: DataFrame, slices: DataFrame, column: str) -> DataFrame:
+    """Rows of the table in exactly the slices listed, however many.
 
-    Slices are listed while there are few; beyond that their range is used, which
-    reads more but never less.
+    The range of the slices is a constant that prunes partitions when the query is
+    planned; the semi-join does the rest, by partition pruning at run time.
     """
-    slices = [r[0] for r in df.select(column).distinct().limit(SLICES_LISTED + 1).collect()]
-    known = [s for s in slices if s is not None]
-    if len(slices) > SLICES_LISTED:
-        lo, hi = df.agg(F.min(column), F.max(column)).first()
-        return F.col(column).between(lo, hi) | F.col(column).isNull()
-    listed = F.col(column).isin(known) if known else F.lit(False)
-    return listed | F.col(column).isNull() if len(known) < len(slices) else listed
+    lo, hi, holes = slices.agg(F.min(column), F.max(column), F.count_if(F.col(column).isNull())).first()
+    within = F.lit(False) if lo is None else F.col(column).between(F.lit(lo), F.lit(hi))
+    within = within | F.col(column).isNull() if holes else within
+    listed = slices.where(within).select(F.col(column).alias("_slice"))
+    # A plain equality unless there is a NULL slice: only that one needs the null-safe form.
+    same = F.col(column).eqNullSafe(F.col("_slice")) if holes else F.col(column) == F.col("_slice")
+    return table.where(within).join(listed, same, "left_semi")
 
 
 def read_slices(df: DataFrame, path: str, column: str | None) -> DataFrame | None:
@@ -156,7 +174,7 @@ def read_slices(df: DataFrame, path: str, column: str | None) -> DataFrame | Non
     if not files.exists(target):
         return None
     table = spark.read.schema(df.schema).parquet(path)
-    return table if column is None else table.where(slice_filter(df, column))
+    return table if column is None else in_slices(table, slices_of(df, column), column)
 
 
 def _rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
