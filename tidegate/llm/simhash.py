@@ -41,6 +41,8 @@ from tidegate.sources.sinks import land
 
 WORDS, SEED, RADIUS, SHARD = 3, 42, 2, 1_024
 LOW64 = (1 << 64) - 1
+#: Rows of fingerprints or links that make a task and its file worth while.
+TASK_ROWS, LEAST_TASKS = 20_000, 8
 
 
 def _masks() -> list[list[int]]:
@@ -60,6 +62,11 @@ def _masks() -> list[list[int]]:
 BLOCKS = _masks()
 
 
+def in_few(rows: DataFrame, n: int) -> DataFrame:
+    """The rows in no more tasks, and so landed files, than about ``n`` rows are worth."""
+    return rows.coalesce(max(LEAST_TASKS, n // TASK_ROWS))
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -241,7 +248,10 @@ def _contract(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``a, b``: every node but the smallest of its component, and that smallest node. Links go in as ``a, b``."""
+    """``a, b``: every node but the smallest of its component, and that smallest node. Links go in as ``a, b``.
+
+    No round makes more links than it gets, so the number of the last round says how many tasks the next one is worth.
+    """
     edges, n = land(_contract(edges.where("a <> b")), "links")
     seen = None
     while n:
@@ -252,7 +262,7 @@ def components(edges: DataFrame) -> DataFrame:
         centre = small.select("a", F.col("least").alias("b"))
         # (b, least) for every other neighbour below a node.
         others = _at(down, small).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        edges, n = land(centre.unionByName(others).distinct(), "links")
+        edges, n = land(in_few(centre.unionByName(others).distinct(), n), "links")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)))).first()
         if now == seen:
             break
@@ -274,10 +284,10 @@ def _stars(both: DataFrame, upward: DataFrame) -> DataFrame:
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, tie, fp, first`` of every row; ``first`` is the first row of its component: ``(no_id, doc_id, tie)``."""
-    printed, _ = land(with_fingerprint(docs, id_col, text), "fingerprints")
+    printed, n = land(with_fingerprint(docs, id_col, text), "fingerprints")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")
-    distinct, _ = land(printed.groupBy("fp").agg(F.min(row).alias("first")), "distinct")
-    found = links(distinct)
+    distinct, n = land(in_few(printed.groupBy("fp").agg(F.min(row).alias("first")), n), "distinct")
+    found = [in_few(level, 3 * n) for level in links(distinct)]
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
