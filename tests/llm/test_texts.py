@@ -135,3 +135,16 @@ def test_long_page_in_linear_time():
 def test_surge_and_dive():
     assert html_text.between_surges_and_dives([0, 5, 0, 0, 0, 90, 80, 0, 70, 0, 0, 0, 3], False) == [False] * 5 + [True] * 4 + [False] * 4
     assert html_text.between_surges_and_dives([], False) == []
+
+
+def test_long_block_among_short_ones():
+    def text(n, word):
+        return (f"{word} " * n)[: n - 1] + "."
+
+    for sizes in ([60, 200, 300, 100_000], [60, 120, 1_500, 1_400], [12, 20, 15, 9, 3_000, 30], [10, 20]):
+        blocks = [text(n, f"w{i}") for i, n in enumerate(sizes)]
+        inner = "\n".join(f"<p>{b}</p>" for b in blocks[1:])
+        page = f"<body><div class=menu><a href=/>Home</a></div><h1>{blocks[0]}</h1>\n{inner}</body>"
+        assert html_text.main_text(page) == " ".join(blocks)
+        adverts = "<div class=ad>Buy</div><script>x()</script><nav><ul><li>a<li>b</ul></nav>" * 2
+        assert html_text.main_text(page.replace("</body>", f"{adverts}<p>Short end.</p></body>")) == " ".join([*blocks, "Short end."])

@@ -1,15 +1,17 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines: every block element begins a new one. What is not text (scripts,
-styles, comments of the markup) or not article (menus, page headers, footers, sidebars, notices,
-adverts, forms, reader comments, told by element, role, class or id) leaves an empty line. The
+Markup is stripped into lines: every block element begins a new one; what separates two blocks is no
+line. What is not text (scripts, styles, comments of the markup) or not article (menus, page headers,
+footers, sidebars, notices, adverts, forms, reader comments, told by element, role, class or id)
+leaves one empty line, however many follow each other; repeated line breaks leave one each. The
 length of each line is summed over a sliding window of ``WINDOW`` lines. Text begins at a surge
-(the window's sum rises above the threshold), and ends at a dive (the window is empty again); what
-lies between surge and dive points is kept, in page order.
+(the window's sum rises above the threshold) or with the filled lines right before it, and ends at a
+dive (the window is empty again); what lies between is kept, in page order.
 
 Where a page marks its article (``article`` or ``main``), lines outside of it count as empty and any
-text is a surge. Elsewhere the threshold is a share of the page's highest sum, and lines that are
-mostly links count as empty, so short loose lines don't make a surge.
+text is a surge. Elsewhere the threshold is ``SURGE`` characters, less on pages with little text (a share
+of the highest sum), so long blocks don't raise it; lines that are mostly links count as empty, so
+short loose lines after a menu or at the end of a page don't make a surge.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by
 one space. Tags that are cut off at the end of a page are markup; elements that are never closed end
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.common import per_batch, texts_of
 
-WINDOW, SHARE, LINKS = 3, 0.15, 0.5
+WINDOW, SURGE, SHARE, LINKS = 3, 60, 0.15, 0.5
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -79,10 +81,16 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
 
     def end_line():
         nonlocal linked
-        text = " ".join(unescape("".join(parts)).split())
-        lines.append((text, linked, in_article > 0))
+        if text := " ".join(unescape("".join(parts)).split()):
+            lines.append((text, linked, in_article > 0))
         parts.clear()
         linked = 0
+        return text
+
+    def end_with_gap():
+        end_line()
+        if lines and lines[-1][0]:
+            lines.append(("", 0, in_article > 0))
 
     def text_until(stop: int):
         nonlocal linked
@@ -108,7 +116,7 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
         tag = (token[3] or "").lower()
         if not tag:
             if token[1] and skip_from < 0:
-                end_line()
+                end_with_gap()
             continue
         if token[2]:
             if counts.get(tag):
@@ -123,15 +131,15 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
             continue
         if skip_from >= 0 and tag in ARTICLE and not in_article and open_tags[skip_from] in ("head", "header", "nav"):
             close(skip_from)  # a menu that was never closed ends where the article begins
-        if skip_from < 0 and tag not in INLINE:
-            end_line()
+        if skip_from < 0 and tag not in INLINE and not end_line() and tag == "br":
+            lines.append(("", 0, in_article > 0))
         if tag in VOID or token[4].endswith("/"):
             continue
         aside = skip_from < 0 and _is_aside(tag, token[4], in_article > 0)
         open_tags.append(tag)
         counts[tag] = counts.get(tag, 0) + 1
         if aside:
-            end_line()
+            end_with_gap()
             skip_from = len(open_tags) - 1
         elif skip_from < 0:
             if tag in ARTICLE:
@@ -147,11 +155,15 @@ def between_surges_and_dives(lengths: list[int], marked: bool, window: int = WIN
     """Which lines lie between a surge and the dive after it."""
     n = len(lengths)
     sums = [sum(lengths[i : i + window]) for i in range(n)]
-    threshold = 0 if marked else SHARE * max(sums, default=0)
+    threshold = 0 if marked else min(SURGE, SHARE * max(sums, default=0))
     kept, inside = [False] * n, False
     for i in range(n):
         if not inside and lengths[i] and sums[i] > threshold:
             inside = True
+            before = i - 1
+            while before >= 0 and lengths[before] and not kept[before]:
+                kept[before] = True
+                before -= 1
         elif inside and not sums[i]:
             inside = False
         kept[i] = inside
