@@ -148,3 +148,25 @@ def test_long_block_among_short_ones():
         assert html_text.main_text(page) == " ".join(blocks)
         adverts = "<div class=ad>Buy</div><script>x()</script><nav><ul><li>a<li>b</ul></nav>" * 2
         assert html_text.main_text(page.replace("</body>", f"{adverts}<p>Short end.</p></body>")) == " ".join([*blocks, "Short end."])
+
+
+BODY = "<p>The text of the page.</p>"
+COMMENTS = "<ol class=comment-list><li><article class=comment-body><p>A reader says so, at some length, and longer than the page.</p></article></ol>"
+MARKED = {
+    "layout": (f"<div class='layout has-sidebar'><div class=left-sidebar>x</div><article>{BODY}</article></div>", "The text of the page."),
+    "states": ("".join(f"<div class='{c}'><p>{c}</p></div>" for c in ("no-sidebar", "with-banner", "share-enabled")), "no-sidebar with-banner share-enabled"),
+    "sections": (f"<article>{BODY}<section class='related-work'><p>a</p></section><div id=search-results>b</div></article>", "The text of the page. a b"),
+    "parts": ("<article>a" + "".join(f"<div class='x {c}'>no</div>" for c in ("ad", "ad-slot", "google_ads-2", "cookie-banner", "related-posts", "share-buttons")) + "b</article>", "a b"),
+    "around article": (f"<div class=page-sidebar><a href=/><p>no</p></a><article>{BODY}</article>no</div>", "The text of the page."),
+    "around main": (f"<div id=widget><a>no<main>{BODY}</main></a></div>{COMMENTS}", "The text of the page."),
+    "in main": (f"<main><div class=sidebar><article>{BODY}</article></div>{COMMENTS}</main>", "The text of the page."),
+    "comments": (f"<div>{BODY}</div><div class=sidebar><article>Teaser</article></div>{COMMENTS}", "The text of the page."),
+    "nothing else": (f"<div class=promo><article>{BODY}</article></div>", "The text of the page."),
+    "other article": (f"<article>{BODY}</article><div class=sidebar><article>Teaser</article></div>{COMMENTS}", "The text of the page."),
+}
+
+
+@pytest.mark.parametrize("name", MARKED)
+def test_marked_parts(name):
+    html, want = MARKED[name]
+    assert html_text.main_text(html) == want

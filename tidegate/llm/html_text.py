@@ -13,6 +13,12 @@ text is a surge. Elsewhere the threshold is ``SURGE`` characters, less on pages
 of the highest sum), so long blocks don't raise it; lines that are mostly links count as empty, so
 short loose lines after a menu or at the end of a page don't make a surge.
 
+A class, id or role tells such a part by its whole name or its head word (``cookie-banner``, ``ad-slot``; not
+``related-work``), unless the name is about a layout (``has-sidebar``). Where a part so told holds ``main``, text begins
+there. Where it holds ``article`` and no ``article`` stands elsewhere, the page is read again with text beginning there,
+except in lists of other texts (comments, related pages, adverts); the longer text counts. If there is no text at
+all, the page is read once more without that exception.
+
 Character references are decoded, white space inside a block becomes one space, blocks are joined by
 one space. Tags that are cut off at the end of a page are markup; elements that are never closed end
 with the page, or where the article begins. NULL and empty pages have an empty text. NULL ids and
@@ -46,7 +52,7 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img in
 ARTICLE = frozenset(["article", "main"])
 #: Elements that are no article, wherever they stand.
 ASIDE = frozenset("head nav footer aside form menu dialog button".split())
-#: Words of a class, id or role that mark such a part; also as a part of a hyphenated name.
+#: Words of a class, id or role that mark such a part; also as the head of a hyphenated name.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus"
     " footer masthead menu modal nav navbar navigation newsletter notice notices popup promo related search share sharing sidebar"
@@ -54,30 +60,52 @@ MARKS = frozenset(
 )
 #: The same, but only as a whole name: an article may have a header of its own.
 WHOLE_MARKS = frozenset(["header", "contentinfo", "complementary", "alert"])
+#: Words after the head that only say what holds the part, like numbers.
+HOLDERS = frozenset(
+    "area articles bar block box button buttons container form icons inner item items link links list posts section slot stories unit wrap wrapper".split()
+)
+#: Words of names that are about a page's layout or state.
+LAYOUT = frozenset("column columns content disabled enabled for has have hide layout no not template with without".split())
+#: Marks of parts whose articles are texts other than the page's own.
+LISTS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments disqus popular promo related sponsor sponsored widget".split()
+)
+
+
+def _mark_of(name: str) -> str:
+    """The mark that a class, id or role has for its head word, or nothing."""
+    if name in MARKS or name in WHOLE_MARKS:
+        return name
+    words = [w for w in re.split(r"[-_]+", name) if w]
+    if not LAYOUT.isdisjoint(words):
+        return ""
+    while words and (words[-1] in HOLDERS or words[-1][0].isdigit()):
+        words.pop()
+    return words[-1] if words and words[-1] in MARKS else ""
 
 
-def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
+def _aside(tag: str, attributes: str, in_article: bool) -> str:
+    """The tag or mark that tells that an element is no article, or nothing."""
     if tag in ASIDE or (tag == "header" and not in_article):
-        return True
+        return f"<{tag}>"
     if tag in ARTICLE or tag in ("html", "body") or "=" not in attributes:
-        return False
-    for found in HINTS.finditer(attributes):
-        for name in (found[1] or found[2] or found[3] or "").lower().split():
-            if name in WHOLE_MARKS or not MARKS.isdisjoint(re.split(r"[-_]+", name)):
-                return True
-    return False
+        return ""
+    marks = [_mark_of(name) for found in HINTS.finditer(attributes) for name in (found[1] or found[2] or found[3] or "").lower().split()]
+    return next((m for m in marks if m in LISTS), "") or next(filter(None, marks), "")
 
 
-def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """``(text, letters inside links, in an article)`` of each line, and whether the page marks an article."""
+def lines_of(html: str, shut: frozenset[str] = MARKS | WHOLE_MARKS) -> tuple[list[tuple[str, int, bool]], bool, bool]:
+    """``(text, letters inside links, in an article)`` of each line, whether the page marks an article, and whether
+    the only ``article`` elements stand in parts told by a mark in ``shut``, which stay out."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = at = 0
     open_tags: list[str] = []
     counts: dict[str, int] = {}
     skip_from = -1  # depth of the outermost element that is no article
+    skip_mark = ""
     in_article = in_link = 0
-    marked = False
+    marked = found = shut_in = False
 
     def end_line():
         nonlocal linked
@@ -131,24 +159,32 @@ def lines_of(html: str) -> tuple[list[tuple[str, int, bool]], bool]:
             continue
         if skip_from >= 0 and tag in ARTICLE and not in_article and open_tags[skip_from] in ("head", "header", "nav"):
             close(skip_from)  # a menu that was never closed ends where the article begins
+        elif skip_from >= 0 and tag in ARTICLE and skip_mark[0] != "<" and (tag == "main" or not counts.get("article")):
+            if tag == "main" or skip_mark not in shut:
+                in_link += open_tags[skip_from:].count("a")
+                in_article += sum(t in ARTICLE for t in open_tags[skip_from:])
+                skip_from = -1
+            else:
+                shut_in = True
         if skip_from < 0 and tag not in INLINE and not end_line() and tag == "br":
             lines.append(("", 0, in_article > 0))
         if tag in VOID or token[4].endswith("/"):
             continue
-        aside = skip_from < 0 and _is_aside(tag, token[4], in_article > 0)
+        aside = _aside(tag, token[4], in_article > 0) if skip_from < 0 else ""
         open_tags.append(tag)
         counts[tag] = counts.get(tag, 0) + 1
         if aside:
             end_with_gap()
-            skip_from = len(open_tags) - 1
+            skip_from, skip_mark = len(open_tags) - 1, aside
         elif skip_from < 0:
             if tag in ARTICLE:
                 in_article += 1
                 marked = True
+                found |= tag == "article"
             in_link += tag == "a"
     text_until(len(html))
     end_line()
-    return lines, marked
+    return lines, marked, shut_in and not found
 
 
 def between_surges_and_dives(lengths: list[int], marked: bool, window: int = WINDOW) -> list[bool]:
@@ -171,7 +207,18 @@ def between_surges_and_dives(lengths: list[int], marked: bool, window: int = WIN
 
 
 def main_text(html: str) -> str:
-    lines, marked = lines_of(html)
+    lines, marked, shut_in = lines_of(html)
+    text = _text_of(lines, marked)
+    if shut_in:
+        lines, marked, _ = lines_of(html, LISTS)
+        text = max(text, _text_of(lines, marked), key=len)
+    if shut_in and not text:
+        lines, marked, _ = lines_of(html, frozenset())
+        text = _text_of(lines, marked)
+    return text
+
+
+def _text_of(lines: list[tuple[str, int, bool]], marked: bool) -> str:
     lengths = []
     for text, linked, in_article in lines:
         counted = len(text)
