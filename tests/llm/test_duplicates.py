@@ -56,6 +56,15 @@ def test_full_filter_only_moves_more_rows(spark, monkeypatch):
     assert found.where("group_size = 2").count() == 2_000
 
 
+def test_repeated_rows_meet_in_no_window(spark):
+    docs = spark.range(0, 3_000, 1, 6).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("doc_id"), F.lit("same").alias("text"), F.col("id").alias("n"))
+    docs = docs.unionByName(docs.withColumns({"doc_id": F.lit(None).cast("long"), "text": F.lit("no id")}))
+    found = exact_dedup.marked(docs)
+    assert "Window" not in found._jdf.queryExecution().toString()
+    assert found.groupBy("text").agg(F.count(F.lit(1)), F.sum(F.col("kept").cast("int")), F.min("keep_id"), F.min("group_size")).sort("text").collect() == [("no id", 3_000, 1, None, 3_000), ("same", 3_000, 1, 0, 3_000)]
+    assert found.select("text", "n").distinct().count() == 6_000
+
+
 def test_exact_empty(spark):
     assert exact_dedup.marked(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -15,18 +15,19 @@ rows of a hot group.
 
 Of equal texts the row with the most code points in the original text stays, then the one
 with the smallest id, NULL ids last. Rows that agree in all of this are repeated rows; exactly
-one of them stays. NULL texts count as empty. A row without an equal is a group of one; an
+one of them stays, the least by a number that each gets in a landed copy, so no task gathers them. NULL texts count as empty. A row without an equal is a group of one; an
 empty table gives no rows. Columns of ``docs`` named like a result are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import bloom
 from tidegate.llm.common import blankless
 from tidegate.operators.shape import compute_once
+from tidegate.sources.sinks import land
 
 RESULTS = ("keep_id", "group_size", "kept", "text_sha256")
 
@@ -58,10 +59,17 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
         out = maybe.join(those, "text_sha256").withColumn("kept", place == F.col("__best.place"))
         return out.withColumn("keep_id", F.when(F.col("__best.place.known"), F.bitwise_not(F.col("__best.place.smaller"))).cast(dict(docs.dtypes)[id_col])).drop("__best")
 
-    single, tied = joined(groups.where("__best.rows = 1")), joined(groups.where("__best.rows > 1"))
-    order = Window.partitionBy("text_sha256").orderBy(id_col)
-    one_of_tied = tied.where("kept").withColumn("kept", F.row_number().over(order) == 1)
-    out = alone.unionByName(single).unionByName(tied.where("NOT kept")).unionByName(one_of_tied)
+    groups, _ = land(groups, "groups")
+    several = groups.where("__best.rows > 1")
+    out = alone.unionByName(joined(groups.where("__best.rows = 1")))
+    if not several.isEmpty():
+        tied = joined(several)
+        # Numbered in the landed copy, so that both uses below see the same numbers.
+        numbered, _ = land(tied.where("kept").withColumn("__row", F.monotonically_increasing_id()), "tied")
+        least = numbered.groupBy(F.unhex("text_sha256").alias("__sha")).agg(F.min("__row").alias("__least"))
+        least = least.select(F.lower(F.hex("__sha")).alias("text_sha256"), "__least")
+        one_of_tied = numbered.join(least, "text_sha256").withColumn("kept", F.col("__row") == F.col("__least")).drop("__row", "__least")
+        out = out.unionByName(tied.where("NOT kept")).unionByName(one_of_tied)
     return out.drop("__maybe", "__hash", "__len")
 
 
