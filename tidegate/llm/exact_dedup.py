@@ -3,8 +3,8 @@
 Texts are equal when identical after deleting the blanks (space, U+0009 to U+000D).
 
 Pass 1 gives every text a word of the filter and three bits in it, from a 64-bit hash, and
-counts the rows of each (word, bits) pair, combined inside the tasks. The pairs that several
-rows have are OR-ed into the filter. Pass 2 probes it: a row whose bits are not all set has
+counts the rows of each (word, bits) pair. Few pairs repeat inside a task, so about one pair of
+16 bytes a row is shuffled here, but no text. The pairs that several rows have are OR-ed into the filter. Pass 2 probes it: a row whose bits are not all set has
 no equal and passes straight through, without a shuffle. Only the possible repeats shuffle,
 are grouped by SHA-256 and meet the row that stays.
 
