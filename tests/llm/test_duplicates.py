@@ -146,6 +146,11 @@ def test_tree_finds_all_neighbours():
         seen.append(v)
 
 
+def test_stated_limit_of_a_shard():
+    free = max(64 - mask.bit_count() for mask in simhash.BLOCKS[-1])
+    assert f"no shard can exceed {1 << free:,}." in " ".join(simhash.__doc__.split())
+
+
 def test_near_duplicates(spark):
     base = "one two three four five six seven eight nine ten eleven twelve"
     rows = [(5, base), (3, base.upper()), (9, base + " "), (7, None), (8, ""), (None, " \n"), (1, "quite another text of its own"), (None, base), (2, "x" * 100_000)]

@@ -7,8 +7,8 @@ in over half of the hashes. Fingerprints that differ in at most ``RADIUS`` bits
 Equal fingerprints are one from the start, so copies are never compared. The distinct ones are
 dealt into shards: of three blocks of bits, two fingerprints within the radius agree in at least
 one, so a shard holds those that agree in a block. A shard with more than ``SHARD`` fingerprints is
-cut further by the same rule over its remaining bits, at most ``len(BLOCKS) - 1`` times; then 13 bits
-are left at most, so no shard can exceed 8,192. Each shard becomes a BK-tree (children keyed by
+cut further by the same rule over its remaining bits, at most ``len(BLOCKS) - 1`` times; then 14 bits
+are left at most (64 less blocks of 21, 14, 9 and 6), so no shard can exceed 16,384. Each shard becomes a BK-tree (children keyed by
 their integer distance to the parent), which is searched along the edges within the radius. A
 shard passes on only links that join two of its components, fewer than it has members, so a
 dense group never emits its pairs, and no link is lost.
