@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -94,6 +95,26 @@ def test_rows(spark, name):
     assert Counter(r[0] for r in found.select(key).distinct().collect()) == Counter(r[0] for r in source.select(key).collect())
 
 
+def test_coordinates_are_held_one_text_at_a_time():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    made = [np.unique(rng.integers(0, 1 << toxicity.BITS, n)).astype(np.int32) for n in (0, 5, 2_000, *[1_000] * 40)]
+    labels = [i % 2 for i in range(len(made))]
+    rows = toxicity.Spilled()
+    for row in made:
+        rows.add(row)
+    for want, got in zip(toxicity.fit(made, labels, {0: 1.0, 1: 1.0}), toxicity.fit(rows, labels, {0: 1.0, 1: 1.0}), strict=True):
+        assert (want == got).all()
+    big = np.arange(1 << 18, dtype=np.int32)
+    tracemalloc.start()
+    for _ in range(40):
+        rows.add(big)
+    assert sum(len(row) for row in rows) == sum(map(len, made)) + 40 * len(big)
+    assert tracemalloc.get_traced_memory()[1] < 6 * big.nbytes
+    tracemalloc.stop()
+
+
 def test_stages(spark):
     """Each stage keeps what a plain version of it keeps of its own input."""
     docs = common.table(spark, LARGER, "documents")

@@ -7,7 +7,8 @@ the model that is broadcast is small (its bound is the number of coordinates).
 
 Training uses at most ``PER_CLASS`` labelled rows of each class (documented bound), in one
 task on an executor because the updates are sequential; weights of the rows restore the
-proportion of all labels. Scoring reads every word of every text; labels, language, source
+proportion of all labels. Their coordinates (4 MB a text at most) lie in a temporary file of the task,
+which holds one text's at a time. Scoring reads every word of every text; labels, language, source
 and id are no input of it.
 
 NULL counts as empty; an empty text gets the score of the bias alone. Without training rows
@@ -19,7 +20,9 @@ from __future__ import annotations
 
 import math
 import re
+import tempfile
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +74,23 @@ class Hasher:
         return np.unique(np.concatenate([*self.coordinates(text), np.empty(0, np.uint64)])).astype(np.int32)
 
 
-def fit(rows: list[np.ndarray], labels: list[int], weight: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
+class Spilled:
+    """Arrays of coordinates in a temporary file; each iteration reads them again, one at a time."""
+
+    def __init__(self):
+        self.file, self.sizes = tempfile.TemporaryFile(), []
+
+    def add(self, row: np.ndarray):
+        self.file.write(row.tobytes())
+        self.sizes.append(len(row))
+
+    def __iter__(self):
+        self.file.seek(0)
+        for n in self.sizes:
+            yield np.frombuffer(self.file.read(4 * n), np.int32)
+
+
+def fit(rows: Iterable[np.ndarray], labels: list[int], weight: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
     """``(coordinates, weights)`` that are not zero; the last coordinate is the bias, free of L1."""
     bias = 1 << BITS
     z, n = np.zeros(bias + 1), np.zeros(bias + 1)
@@ -102,9 +121,10 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", per_class:
     share = sizes.get(1, 0) / total if total else 0.5
 
     def learn(batches):
-        hasher, rows, known = Hasher(), [], []
+        hasher, rows, known = Hasher(), Spilled(), []
         for batch in small_batches(batches):
-            rows += [hasher.distinct(t) for t in texts_of(batch.column("text"))]
+            for text in texts_of(batch.column("text")):
+                rows.add(hasher.distinct(text))
             known += batch.column("label").to_pylist()
         ones = sum(known)
         if 0 < ones < len(known):
