@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, exact_dedup, html_text, order_minhash, packing, quality, simhash, token_counts, toxicity, url_rules
+from tidegate.llm import bpe, exact_dedup, html_text, importance, order_minhash, packing, quality, simhash, token_counts, toxicity, url_rules
 from tidegate.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,53 @@ def op4_order_minhash(spark, sf_dir):
 @query()
 def op7_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def _features_sql(words: str) -> str:
+    return f"list_concat({words}, list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))"
+
+
+def _hex_digit_sql(text: str, at: str) -> str:
+    return f"(instr('0123456789ABCDEF', upper(substr({text}, {at}, 1))) - 1)"
+
+
+@query(
+    f"""
+    WITH bytewise AS (
+        SELECT list(list_reduce(list_prepend(b, range(0, 8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+        FROM range(256) AS r(b)),
+    words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    wanted AS (
+        SELECT regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    source_features AS (SELECT doc_id, unnest({_features_sql('w')}) AS f FROM words),
+    target_features AS (SELECT unnest({_features_sql('w')}) AS f FROM wanted),
+    each AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM source_features UNION SELECT f FROM target_features)),
+    coded AS (
+        SELECT f, list_transform(range(0, len(h) // 2), lambda i: {_hex_digit_sql('h', '2 * i + 1')} * 16 + {_hex_digit_sql('h', '2 * i + 2')}) AS bytes FROM each),
+    placed AS (
+        SELECT f, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM coded, bytewise),
+    s AS (SELECT bucket, count(*) AS s FROM source_features JOIN placed USING (f) GROUP BY bucket),
+    t AS (SELECT bucket, count(*) AS t FROM target_features JOIN placed USING (f) GROUP BY bucket),
+    sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS big_s, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS big_t),
+    gains AS (
+        SELECT s.bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (big_s + 10000) / ((s + 1)::DOUBLE * (big_t + 10000))))::BIGINT AS gain
+        FROM s LEFT JOIN t USING (bucket), sums),
+    weights AS (
+        SELECT doc_id, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+        FROM source_features JOIN placed USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+    hashed AS (
+        SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+            list_reduce(list_transform(range(0, 9), lambda i: CASE WHEN i = 0 THEN 0 ELSE {_hex_digit_sql("sha256('7:' || doc_id)", 'i')} END), lambda a, x: a * 16 + x) AS h
+        FROM words LEFT JOIN weights USING (doc_id)),
+    scored AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM hashed),
+    ranked AS (
+        SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 25 * count(*) OVER () // 100 AS k
+        FROM scored WHERE n_words >= 20)
+    SELECT doc_id, n_words, n_features, weight, score, CASE WHEN place <= k THEN place END AS rank
+    FROM scored LEFT JOIN ranked USING (doc_id)
+    """
+)
+def op11_importance(spark, sf_dir):
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.withColumn("doc_id", drawn.doc_id.cast("long"))
