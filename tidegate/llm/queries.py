@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, exact_dedup, html_text, importance, order_minhash, packing, quality, simhash, token_counts, toxicity, url_rules
+from tidegate.llm import bpe, exact_dedup, hard_negatives, html_text, importance, order_minhash, packing, quality, simhash, substring_dedup, token_counts, toxicity, url_rules
 from tidegate.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +156,50 @@ def _hex_digit_sql(text: str, at: str) -> str:
 def op11_importance(spark, sf_dir):
     drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.withColumn("doc_id", drawn.doc_id.cast("long"))
+
+
+@query(
+    """
+    WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS start, w FROM words WHERE len(w) >= 20),
+    hashed AS (SELECT doc_id, start, sha256(array_to_string(w[start : start + 19], ' ')) AS h FROM windows),
+    repeats AS (
+        SELECT doc_id, start
+        FROM (SELECT doc_id, start, row_number() OVER (PARTITION BY h ORDER BY doc_id, start) AS place FROM hashed) WHERE place > 1),
+    gone AS (SELECT DISTINCT doc_id, start + i AS place_at FROM repeats, range(0, 20) AS r(i)),
+    places AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS place_at, unnest(w) AS word FROM words),
+    kept AS (
+        SELECT doc_id, string_agg(word, ' ' ORDER BY place_at) AS kept, count(*) AS n_kept
+        FROM places ANTI JOIN gone USING (doc_id, place_at) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM words LEFT JOIN kept USING (doc_id)
+    """
+)
+def op12_substring_dedup(spark, sf_dir):
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH rows AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+            list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+        FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND (a.vec_id <> b.vec_id OR a.label <> b.label)),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+    """
+)
+def op13_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
