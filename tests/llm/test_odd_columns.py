@@ -1,0 +1,44 @@
+"""Columns with the operators' own names, and ids that very many rows share."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidegate.llm import exact_dedup, labelled, quality, toxicity
+
+
+def test_own_names_of_exact_dedup(spark):
+    names = ["__hash", "__len", "__plain", "__maybe", "__docs", "__row", "___best", "row", "keep_id", "text_sha256"]
+    rows = [(i, ["a b", "ab", "x", None][i % 4], *[f"{n}{i}" for n in names]) for i in range(12)] + [(3, None, *names), (3, None, *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    marked = exact_dedup.marked(docs)
+    assert set(marked.columns) == {*docs.columns, *exact_dedup.RESULTS}
+    assert sorted((r.doc_id, r["__hash"], r["___best"]) for r in marked.collect()) == sorted((r[0], r[2], r[8]) for r in rows)
+    kept = exact_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r["__docs"], r["keep_id"]) for r in kept.where("doc_id < 3").collect()) == [(0, "__docs0", "keep_id0"), (2, "__docs2", "keep_id2")]
+    assert kept.count() == 3
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_one_labelled_id_for_very_many_rows(spark, same):
+    """The sample is bounded in rows, whatever rows share the ids; equal rows count once."""
+    texts = F.lit("one text") if same else F.concat(F.lit("text "), F.col("id").cast("string"))
+    hot = spark.range(0, 200_000, 1, 8).select(F.lit(1).cast("long").alias("doc_id"), texts.alias("text"))
+    docs = hot.unionByName(spark.range(2, 60).select(F.col("id").alias("doc_id"), F.concat(F.lit("other "), F.col("id").cast("string")).alias("text")))
+    labels = spark.range(1, 60).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    sample, sizes = labelled.training_sample(docs, labels, "toxic", 20)
+    counts = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
+    assert all(n <= 20 for n in counts.values()) and set(counts) == {0, 1}
+    assert sample.select("doc_id", "text").distinct().count() == sample.count()
+    assert sum(sizes.values()) == labels.where(~labelled.held_out()).count()
+    again, _ = labelled.training_sample(docs.repartition(3), labels, "toxic", 20)
+    assert sorted(again.collect()) == sorted(sample.collect())
+
+
+def test_score_columns_of_the_caller_stay(spark):
+    rows = [(i, f"good words number {i} in a row" if i % 2 else f"zq{i} xx zz qq", "mine", "too") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __score string, score string")
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    for kept in (quality.keep_good(docs, labels), toxicity.drop_toxic(docs, labels)):
+        assert kept.columns == docs.columns
+        assert {(r["__score"], r["score"]) for r in kept.collect()} <= {("mine", "too")}

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import per_batch, raw_texts, small_batches
+from tidegate.llm.common import per_batch, raw_texts, small_batches, unused
 from tidegate.llm.labelled import held_out, training_sample
 
 PER_CLASS, BLOCKS_EACH, BLOCK = 4_000, 16, 4_096
@@ -169,4 +169,5 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, per
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier doesn't reject, with their own columns."""
-    return scored(docs, train(docs, labels), into="__score").where(F.col("__score") >= threshold).drop("__score")
+    score = unused(docs.columns, "__score")
+    return scored(docs, train(docs, labels), into=score).where(F.col(score) >= threshold).drop(score)
