@@ -16,7 +16,7 @@ rows of a hot group.
 Of equal texts the row with the most code points in the original text stays, then the one
 with the smallest id, NULL ids last. Rows that agree in all of this are repeated rows; exactly
 one of them stays, the least by a number that each gets in a landed copy, so no task gathers them. NULL texts count as empty. A row without an equal is a group of one; an
-empty table gives no rows. Columns of ``docs`` named like a result are replaced.
+empty table gives no rows. Columns of ``docs`` named like a result are replaced, all others are kept whatever their names.
 """
 
 from __future__ import annotations
@@ -35,6 +35,9 @@ RESULTS = ("keep_id", "group_size", "kept", "text_sha256")
 def marked(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row of ``docs`` with ``keep_id, group_size, kept, text_sha256``; ids are integers."""
     docs = docs.drop(*[c for c in RESULTS if c in docs.columns])
+    own = "__"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
     words = bloom.filter_words(docs.count())
     plain = blankless(F.col(text))
 
@@ -42,37 +45,38 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     repeated = pairs.groupBy("word", "mask").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     held = bloom.dense(repeated, words).scalar()
 
-    probed = compute_once(docs, {"__plain": plain, "__len": F.char_length(F.coalesce(F.col(text), F.lit(""))).cast("long")})
-    probed = compute_once(probed, {"__hash": F.xxhash64("__plain"), "text_sha256": F.sha2(F.col("__plain").cast("binary"), 256)}).drop("__plain")
-    probed = probed.withColumn("__maybe", bloom.may_hold(held, **bloom.place(F.col("__hash"), words)))
+    probed = compute_once(docs, {f"{own}plain": plain, f"{own}len": F.char_length(F.coalesce(F.col(text), F.lit(""))).cast("long")})
+    probed = compute_once(probed, {f"{own}hash": F.xxhash64(f"{own}plain"), "text_sha256": F.sha2(F.col(f"{own}plain").cast("binary"), 256)}).drop(f"{own}plain")
+    probed = probed.withColumn(f"{own}maybe", bloom.may_hold(held, **bloom.place(F.col(f"{own}hash"), words)))
 
-    alone = probed.where("NOT __maybe").withColumns({"keep_id": F.col(id_col), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
-    maybe = probed.where("__maybe")
-    place = F.struct(F.col("__len").alias("len"), F.col(id_col).isNotNull().alias("known"), F.coalesce(F.bitwise_not(F.col(id_col)), F.lit(0)).cast("long").alias("smaller"))
+    alone = probed.where(f"NOT {own}maybe").withColumns({"keep_id": F.col(id_col), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
+    maybe = probed.where(f"{own}maybe")
+    place = F.struct(F.col(f"{own}len").alias("len"), F.col(id_col).isNotNull().alias("known"), F.coalesce(F.bitwise_not(F.col(id_col)), F.lit(0)).cast("long").alias("smaller"))
     # Rows of the same place first, then groups: the best place of a group comes with its number of rows.
-    placed = maybe.groupBy(F.unhex("text_sha256").alias("__sha"), place.alias("place")).agg(F.count(F.lit(1)).alias("rows"))
-    groups = placed.groupBy("__sha").agg(F.sum("rows").alias("group_size"), F.max(F.struct("place", "rows")).alias("__best"))
+    placed = maybe.groupBy(F.unhex("text_sha256").alias(f"{own}sha"), place.alias("place")).agg(F.count(F.lit(1)).alias("rows"))
+    groups = placed.groupBy(f"{own}sha").agg(F.sum("rows").alias("group_size"), F.max(F.struct("place", "rows")).alias(f"{own}best"))
     # The key as text: not the key that the groups are dealt by, so the join deals both sides and can split them.
-    groups = groups.select(F.lower(F.hex("__sha")).alias("text_sha256"), "group_size", "__best")
+    groups = groups.select(F.lower(F.hex(f"{own}sha")).alias("text_sha256"), "group_size", f"{own}best")
 
     def joined(those: DataFrame) -> DataFrame:
-        out = maybe.join(those, "text_sha256").withColumn("kept", place == F.col("__best.place"))
-        return out.withColumn("keep_id", F.when(F.col("__best.place.known"), F.bitwise_not(F.col("__best.place.smaller"))).cast(dict(docs.dtypes)[id_col])).drop("__best")
+        out = maybe.join(those, "text_sha256").withColumn("kept", place == F.col(f"{own}best.place"))
+        return out.withColumn("keep_id", F.when(F.col(f"{own}best.place.known"), F.bitwise_not(F.col(f"{own}best.place.smaller"))).cast(dict(docs.dtypes)[id_col])).drop(f"{own}best")
 
     groups, _ = land(groups, "groups")
-    several = groups.where("__best.rows > 1")
-    out = alone.unionByName(joined(groups.where("__best.rows = 1")))
+    several = groups.where(f"{own}best.rows > 1")
+    out = alone.unionByName(joined(groups.where(f"{own}best.rows = 1")))
     if not several.isEmpty():
         tied = joined(several)
         # Numbered in the landed copy, so that both uses below see the same numbers.
-        numbered, _ = land(tied.where("kept").withColumn("__row", F.monotonically_increasing_id()), "tied")
-        least = numbered.groupBy(F.unhex("text_sha256").alias("__sha")).agg(F.min("__row").alias("__least"))
-        least = least.select(F.lower(F.hex("__sha")).alias("text_sha256"), "__least")
-        one_of_tied = numbered.join(least, "text_sha256").withColumn("kept", F.col("__row") == F.col("__least")).drop("__row", "__least")
+        numbered, _ = land(tied.where("kept").withColumn(f"{own}row", F.monotonically_increasing_id()), "tied")
+        least = numbered.groupBy(F.unhex("text_sha256").alias(f"{own}sha")).agg(F.min(f"{own}row").alias(f"{own}least"))
+        least = least.select(F.lower(F.hex(f"{own}sha")).alias("text_sha256"), f"{own}least")
+        one_of_tied = numbered.join(least, "text_sha256").withColumn("kept", F.col(f"{own}row") == F.col(f"{own}least")).drop(f"{own}row", f"{own}least")
         out = out.unionByName(tied.where("NOT kept")).unionByName(one_of_tied)
-    return out.drop("__maybe", "__hash", "__len")
+    return out.drop(f"{own}maybe", f"{own}hash", f"{own}len")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group of equal texts, with the columns of ``docs``."""
-    return marked(docs.withColumn("__docs", F.struct(*docs.columns)), id_col, text).where("kept").select("__docs.*")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    return marked(rows).where("kept").select("row.*")
