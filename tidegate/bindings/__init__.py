@@ -54,4 +54,4 @@ def plain(df: DataFrame) -> DataFrame:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tidegate.bindings import basics, batch, metadata, mutation, published, quality, streams  # noqa: F401
+    from tidegate.bindings import basics, batch, metadata, mutation, published, quality, streams, upkeep  # noqa: F401
