@@ -12,7 +12,9 @@ from tidegate.operators.validate import validate_events
 from tidegate.session import staging_path
 from tidegate.streaming.events import event_to_row, parse_events, to_events
 from tidegate.streaming.ingest import Paths, dedup_stream, ingest_stream, total_counters
-from tidegate.streaming.replay import read_replay
+from tidegate.streaming.monitor import null_spikes
+from tidegate.streaming.replay import number_for_replay, read_replay, replay_at_rate
+from tidegate.streaming.running import run_until
 from tidegate.streaming.stats import sliding_stats, stream_quality
 from tidegate.sources.topics import keyed_messages
 
@@ -143,3 +145,77 @@ FROM events""")
 def event_messages(t: Tables) -> DataFrame:
     envelope = to_events(t.events, F.lit("2024-02-01").cast("timestamp"), {"event_id": "bigint", "user_id": "bigint"})
     return keyed_messages(envelope, "user_id")
+
+
+# --- streams that run on --------------------------------------------------------
+
+SPIKES_SQL = """
+WITH h AS (
+  SELECT date_trunc('hour', ts) AS window_start, count(*) AS events, count(*) FILTER (event_type = 'error') AS invalid,
+         count(*) FILTER (user_id % 5 = 0 OR ts >= TIMESTAMP '2024-01-15') AS null_user_id FROM events GROUP BY 1),
+b AS (SELECT *, coalesce(sum(events) OVER w, 0)::BIGINT AS before_events, coalesce(sum(invalid) OVER w, 0)::BIGINT AS before_invalid,
+             coalesce(sum(null_user_id) OVER w, 0)::BIGINT AS before_null_user_id
+      FROM h WINDOW w AS (ORDER BY window_start RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING))
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, events, invalid, null_user_id, before_events, before_invalid, before_null_user_id,
+       CASE WHEN before_events > 0 THEN null_user_id * before_events > before_null_user_id * 3 * events AND null_user_id >= 5 END AS spike_user_id FROM b"""
+
+
+def watched_events(rows: DataFrame) -> DataFrame:
+    """A fifth of the users is unknown, from the middle of the month on all are; event type ``error`` is invalid."""
+    known = F.expr("CASE WHEN user_id % 5 <> 0 AND ts < TIMESTAMP '2024-01-15' THEN user_id END")
+    return rows.select(F.col("ts").cast("timestamp").alias("at"), known.alias("user_id"), F.when(F.col("event_type") == "error", "bad").alias("error"))
+
+
+def spikes(rows: DataFrame, delay: str | None = None) -> DataFrame:
+    return null_spikes(watched_events(rows), "at", ["user_id"], "1 hour", "24 hours", delay=delay)
+
+
+@query(SPIKES_SQL)
+def null_spikes_batch(t: Tables) -> DataFrame:
+    return spikes(t.events)
+
+
+@query(SPIKES_SQL)
+def stream_null_spikes(t: Tables) -> DataFrame:
+    """The same as a stream, in append mode and in three runs of one checkpoint: half the time range, the rest, and events a year later that close all windows."""
+    root = staging_path(t.spark, "spikes")
+    rows = t.events.select("ts", "user_id", "event_type")
+    later = rows.limit(1).withColumn("ts", F.expr("TIMESTAMP_NTZ '2025-01-01'"))
+    parts = [rows.where("ts < TIMESTAMP '2024-01-16'"), rows.where("ts >= TIMESTAMP '2024-01-16'"), later]
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/source")
+        stream = spikes(t.spark.readStream.schema(part.schema).parquet(f"{root}/source"), "2 hours")
+        writer = stream.writeStream.format("parquet").option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{root}/table").where("window_start < TIMESTAMP '2025-01-01'")
+
+
+@query("""
+WITH n AS (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS seq FROM events)
+SELECT event_id, seq AS replay_seq FROM n""")
+def stream_replay(t: Tables) -> DataFrame:
+    """All events at a set rate, in two runs: the second goes on where the first was stopped."""
+    root = staging_path(t.spark, "replay")
+    total = number_for_replay(t.events.select("event_id", "ts"), ["ts", "event_id"], f"{root}/numbered")
+    rate = max(1, -(-total // 6))
+
+    def save(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{root}/table/batch_id={batch_id}")
+
+    for limit in (2 * rate, total):
+        query_ = replay_at_rate(t.spark, f"{root}/numbered", rate, f"{root}/checkpoint", save)
+        run_until(query_, rows=limit)
+    return t.spark.read.parquet(f"{root}/table").select("event_id", "replay_seq")
+
+
+@query("SELECT count(*) AS processed, count(*) FILTER (user_id < 1 OR value <= 0) AS invalid FROM events")
+def stream_live_counters(t: Tables) -> DataFrame:
+    """Counters reported by the running query itself; it is stopped when nothing has come for a while."""
+    root = staging_path(t.spark, "live")
+    t.events.repartition(4).write.parquet(f"{root}/source")
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/source")
+    bad = F.count_if((F.col("user_id") < 1) | (F.col("value") <= 0))
+    counted = stream.observe("seen", F.count(F.lit(1)).alias("processed"), bad.alias("invalid"))
+    writer = counted.writeStream.format("parquet").option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint")
+    progress = run_until(writer.start(), idle_seconds=3, metrics="seen")
+    return t.spark.createDataFrame([(progress.counters.get("processed", 0), progress.counters.get("invalid", 0))], "processed long, invalid long")

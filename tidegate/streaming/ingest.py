@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -70,8 +70,11 @@ def ingest_batch(
         return
     checked = check(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        valid, invalid = route(checked)
-        rejected = invalid.select("raw", F.col("error").alias("reason"))
+        seen = Observation()
+        valid, _ = route(checked)
+        # Counted by the write of the rejected rows, which passes over the whole batch anyway.
+        watched = checked.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if(F.col("error").isNotNull()).alias("invalid"))
+        rejected = route(watched)[1].select("raw", F.col("error").alias("reason"))
         rejected.write.mode("overwrite").parquet(f"{paths.rejected}/batch_id={batch_id}")
         rows = to_row(valid)
         if slice_ts is not None:
@@ -84,14 +87,9 @@ def ingest_batch(
         staged = spark.read.schema(rows.schema).parquet(pending)
         held = sinks.read_slices(staged, paths.table, sliced) if repeated else None
         sinks.append(staged if held is None else new_rows(held, staged, key), paths.table, [sliced] if sliced else [])
-        inserted = staged.count()
-        counters = checked.agg(
-            F.count(F.lit(1)).alias("processed"), F.count_if(F.col("error").isNotNull()).alias("invalid")
-        ).select(
-            "processed",
-            F.lit(inserted).cast("bigint").alias("inserted"),
-            (F.col("processed") - F.col("invalid") - inserted).alias("duplicates"),
-            "invalid",
+        inserted, processed, invalid = staged.count(), seen.get["processed"], seen.get["invalid"]
+        counters = spark.range(1).select(
+            *[F.lit(n).cast("bigint").alias(c) for c, n in (("processed", processed), ("inserted", inserted), ("duplicates", processed - invalid - inserted), ("invalid", invalid))]
         )
         counters.write.mode("overwrite").parquet(counted)
         sinks.remove(spark, pending)
