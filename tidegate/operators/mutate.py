@@ -23,16 +23,14 @@ MATCHED = "_matched"
 def dedup(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per key; the last by ``order`` when given, any otherwise.
 
-    Rows with a NULL in the key are all kept, as in a unique index, and do not meet
-    in one group.
+    Rows with a NULL in the key are all kept, as in a unique index: they pass by the grouping, so nothing
+    depends on how rows are numbered or in which order they come.
     """
     key = list(key)
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-    alone = F.when(no_key, F.monotonically_increasing_id())
-    marked = df.withColumn("_alone", alone)
-    if order is None:
-        return marked.dropDuplicates([*key, "_alone"]).drop("_alone")
-    return latest_per_key(marked, [*key, "_alone"], order).drop("_alone")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    keyed = df.where(known)
+    once = keyed.dropDuplicates(key) if order is None else latest_per_key(keyed, key, order)
+    return once.unionByName(df.where(~known))
 
 
 def new_rows(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
