@@ -10,13 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import values
-from tidegate.operators import changelog, intervals, reconcile
+from tidegate.operators import changelog, intervals, ordering, paging, reconcile
 from tidegate.operators.history import scd2_merge, scd2_start
 from tidegate.operators.rollups import Rollup
 from tidegate.operators.shape import union_all
 from tidegate.plans import drift, maintained
 from tidegate.session import staging_path
-from tidegate.sources import sinks
+from tidegate.sources import compaction, sinks
 
 DAY = datetime(2024, 1, 1)
 LOG = "k int, a string, b int, at timestamp, n long, gone boolean"
@@ -293,3 +293,74 @@ def test_check_trend(rows):
     results = rows([("s", "between", "v", float(o), o == 0, f"r{i}", at(i)) for i, o in enumerate([0, 3, 5, 0, 2])], "suite string, check string, column string, observed double, success boolean, run_id string, checked_at timestamp")
     got = values(drift.check_trend(results), "run_id", "observed_before", "change", "failures_in_a_row")
     assert got == [("r0", None, None, 0), ("r1", 0.0, 3.0, 1), ("r2", 3.0, 2.0, 2), ("r3", 5.0, -5.0, 0), ("r4", 0.0, 2.0, 1)]
+
+
+# --- orders and pages ---------------------------------------------------------------
+
+
+def odd_rows(spark):
+    rng = random.Random(6)
+    texts = ["", "a", "ab", "abc", "b", "é", "\x00", "a\x00", "zz", None]
+    doubles = [math.nan, math.inf, -math.inf, -0.5, 0.0, 1.5, None]
+    rows = [
+        (i, rng.choice(texts), rng.choice(doubles), rng.choice([-(1 << 63), (1 << 63) - 1, 0, 5, None]), rng.choice([True, False, None]), rng.choice([at(0), at(-30_000), at(9), None]))
+        for i in range(400)
+    ]
+    frame = spark.createDataFrame(rows, "id int, s string, d double, n long, b boolean, t timestamp")
+    return frame.withColumns({"m": F.expr("CAST(n % 7 AS DECIMAL(10,2))"), "day": F.to_date("t"), "ntz": F.col("t").cast("timestamp_ntz"), "bin": F.encode("s", "utf-8")})
+
+
+@pytest.mark.parametrize("order", [["-s", "id"], ["-d", "s", "-id"], ["n", "-b", "-t", "id"], ["-n", "-bin", "id"], ["-m", "-day", "ntz", "-id"], ["-ntz", "d", "id"]])
+def test_ascending_keys_are_the_order(spark, order):
+    df = odd_rows(spark)
+    keys = ordering.ascending(df, order)
+    want = [r.id for r in paging.sort_by(df, *order).collect()]
+    assert [r.id for r in df.withColumns(keys).orderBy(*keys).collect()] == want
+    assert [r.id for r in paging.page(df, order, 25, 130, shallow_rows=0)[0].collect()] == want[130:155]
+
+
+def test_no_descending_key_for_maps(spark):
+    with pytest.raises(TypeError):
+        ordering.ascending(spark.range(1).select(F.create_map("id", "id").alias("m")), ["-m"])
+
+
+# --- compaction -----------------------------------------------------------------------
+
+
+def test_compact(spark):
+    import pyarrow.parquet as pq
+
+    path = f"{staging_path(spark, 'files')}/t"
+    n = 40_000
+    rows = spark.range(n).select("id", (F.col("id") * 7919 % n).alias("a"), (F.col("id") * 104_729 % n).alias("b"), F.when(F.col("id") % 10 > 0, (F.col("id") % 2).cast("string")).alias("part"))
+    for load in range(8):
+        sinks.append(rows.where(F.pmod(F.xxhash64("id"), F.lit(8)) == load), path, ["part"])
+    alone = rows.where("id < 10").withColumn("part", F.lit("alone")).coalesce(1)
+    sinks.append(alone, path, ["part"])
+    untouched = {f for f in files(path) if "part=alone" in f}
+    size = sum(r.bytes for r in compaction.file_sizes(spark, path, "part").where("folder = '0'").collect())
+
+    def read(low, high):
+        """Files whose ranges meet both conditions."""
+        found = 0
+        for f in files(path) - untouched:
+            group = pq.ParquetFile(f).metadata.row_group(0)
+            stats = {group.column(i).path_in_schema: group.column(i).statistics for i in range(group.num_columns)}
+            found += all(stats[c].min <= high and stats[c].max >= low for c in ("a", "b"))
+        return found
+
+    before = read(0, 2_000)
+    assert compaction.compact(spark, path, "part", ["a", "b"], file_bytes=size // 4) == 3
+    spark.catalog.refreshByPath(path)
+    assert values(spark.read.parquet(path)) == values(rows.unionByName(alone))
+    assert untouched <= files(path)
+    assert len(files(path)) <= 1 + 11 + 3 < 24  # the files asked for, and one more where a range crosses slices
+    assert read(0, 2_000) < before / 2
+    assert compaction.compact(spark, path, "part", ["a", "b"], file_bytes=1) == 0
+
+
+def test_interleaved_bits(spark):
+    pairs = [(0, 0), (1, 0), (0, 1), (0b1011, 0b0110), (65_535, 65_535)]
+    frame = spark.createDataFrame(pairs, "a long, b long")
+    got = frame.select("a", "b", compaction.interleaved([F.col("a"), F.col("b")]).alias("z")).collect()
+    assert [r.z for r in got] == [sum(((r.a >> i & 1) << (2 * i + 1)) | ((r.b >> i & 1) << (2 * i)) for i in range(16)) for r in got]

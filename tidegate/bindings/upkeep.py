@@ -9,6 +9,7 @@ from tidegate.bindings import Tables, query
 from tidegate.operators.changelog import apply_changes, log_of, to_log, versions_from
 from tidegate.operators.history import scd2_start
 from tidegate.operators.intervals import valid_versions
+from tidegate.operators.paging import page
 from tidegate.operators.quality import Check, record_results, run_suite
 from tidegate.operators.reconcile import differing_rows
 from tidegate.operators.rollups import Rollup
@@ -17,6 +18,7 @@ from tidegate.plans import maintained
 from tidegate.plans.drift import check_trend, drift, profile
 from tidegate.session import staging_path
 from tidegate.sources import sinks
+from tidegate.sources.compaction import compact
 
 CHANGES_SQL = """
 log AS (
@@ -184,3 +186,28 @@ def result_trend(t: Tables) -> DataFrame:
         sinks.append(record_results(run_suite(part, "events", [Check("between", "value", lo=None, hi=150)]), run_id, now), path)
     columns = ["run_id", *[F.col(c).cast("double").alias(c) for c in ("observed", "observed_before", "change")], "failures_in_a_row"]
     return check_trend(t.spark.read.parquet(path)).select(*columns)
+
+
+# --- deep pages and compaction ------------------------------------------------------
+
+
+@query("""
+SELECT o_orderkey, o_orderpriority, o_orderdate, row_number() OVER (ORDER BY o_orderpriority DESC, o_orderdate, o_totalprice DESC, o_orderkey DESC) AS place
+FROM orders QUALIFY place BETWEEN 1001 AND 1040""")
+def page_in_mixed_directions(t: Tables) -> DataFrame:
+    """A page in four keys of either direction, by numbers in slices as at any depth."""
+    order = ["-o_orderpriority", "o_orderdate", "-o_totalprice", "-o_orderkey"]
+    found, _ = page(t.orders, order, 40, 1000, shallow_rows=0)
+    rows = [(r.o_orderkey, r.o_orderpriority, r.o_orderdate, 1001 + i) for i, r in enumerate(found.collect())]  # one page
+    return t.spark.createDataFrame(rows, "o_orderkey long, o_orderpriority string, o_orderdate timestamp_ntz, place long")
+
+
+@query("SELECT event_id, ts, user_id, value FROM events")
+def compacted_events(t: Tables) -> DataFrame:
+    """Six loads leave small files in every day; then two files' worth a day, clustered by user and value."""
+    path = staging_path(t.spark, "crowded")
+    rows = t.events.select("event_id", "ts", "user_id", "value").withColumn("day", F.to_date("ts"))
+    for load in range(6):
+        sinks.append(rows.where(F.col("event_id") % 6 == load), path, ["day"])
+    compact(t.spark, path, "day", ["user_id", "value"])
+    return t.spark.read.parquet(path).drop("day")

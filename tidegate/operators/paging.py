@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.operators.aggregates import count_rows
 from tidegate.operators.filters import filter_where
+from tidegate.operators.ordering import ascending
 from tidegate.operators.windows import assign_ids
 
 SHALLOW_ROWS = 100_000
@@ -39,21 +40,20 @@ def page(
 
     ``order`` must be a total order. The two frames are separate queries; skip the
     second when the caller does not need a total. A shallow page keeps ``offset +
-    limit`` rows per task; for a deep one in a single direction the rows are numbered
-    in slices instead, so that no task holds all the rows before the page.
+    limit`` rows per task; for a deep one the rows are numbered in slices instead, in any
+    mix of directions, so that no task holds all the rows before the page.
     """
     rows = filter_where(df, **filters)
     total = count_rows(rows, "total")
     names = [c.removeprefix("-") for c in order]
     columns = list(columns or df.columns)
     rows = rows.select(*dict.fromkeys([*columns, *names]))
-    directions = {c.startswith("-") for c in order}
-    if offset + limit <= shallow_rows or len(directions) > 1:
+    if offset + limit <= shallow_rows:
         return sort_by(rows, *order).offset(offset).limit(limit).select(*columns), total
-    first = offset if directions == {False} else total.first().total - offset - limit
-    numbered = assign_ids(rows, names, "_number", 0)
-    inside = numbered.where(F.col("_number").between(first, first + limit - 1))
-    return sort_by(inside, *order).select(*columns), total
+    keys = ascending(rows, order)
+    numbered = assign_ids(rows.withColumns(keys), list(keys), "_number", 0)
+    inside = numbered.where(F.col("_number").between(offset, offset + limit - 1))
+    return inside.orderBy("_number").select(*columns), total
 
 
 def page_after(df: DataFrame, key: str, last: Any | None, limit: int, descending: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ by slice from the staged copy.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from tidegate.session import staging_path
 
+Arrange = Callable[[DataFrame], DataFrame]
 NULL_SLICE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -87,13 +88,14 @@ def write_partitioned(df: DataFrame, ts: str, path: str, column: str = "pickup_d
         reload_slices(dated, path, column)
 
 
-def reload_slices(df: DataFrame, path: str, column: str) -> None:
+def reload_slices(df: DataFrame, path: str, column: str, arrange: Arrange | None = None) -> None:
     """Replace the slices present in ``df`` with its rows; other slices stay.
 
-    ``df`` must hold each of its slices in full, so running it again is harmless.
+    ``df`` must hold each of its slices in full, so running it again is harmless. ``arrange`` deals the rows to files,
+    by default by slice.
     """
     (
-        _rebalanced(df, [column])
+        (arrange(df) if arrange else _rebalanced(df, [column]))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
@@ -115,7 +117,9 @@ def replace_slices(df: DataFrame, path: str, column: str, slices: DataFrame) ->
     return staged
 
 
-def install_slices(spark: SparkSession, staged: str, path: str, column: str, slices: DataFrame, schema: StructType | None = None) -> None:
+def install_slices(
+    spark: SparkSession, staged: str, path: str, column: str, slices: DataFrame, schema: StructType | None = None, arrange: Arrange | None = None
+) -> None:
     """Copy staged slices over those of the table and remove the slices that became empty.
 
     ``schema`` is the table's; without it a text slice such as ``01`` would be read as a number.
@@ -125,7 +129,7 @@ def install_slices(spark: SparkSession, staged: str, path: str, column: str, sli
     before = in_slices(held, slices, column).select(column).distinct()
     # Folders of the table, which the driver lists for every read anyway; they come one partition at a time.
     emptied = land(before.exceptAll(fresh.select(column).distinct()), "emptied")[0]
-    reload_slices(fresh, path, column)
+    reload_slices(fresh, path, column, arrange)
     for (value,) in emptied.toLocalIterator():
         remove(spark, f"{path}/{column}={NULL_SLICE if value is None else value}")
     spark.catalog.refreshByPath(path)
