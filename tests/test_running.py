@@ -11,6 +11,7 @@ from tidegate.session import staging_path
 from tidegate.streaming.monitor import null_spikes
 from tidegate.streaming.replay import number_for_replay, replay_at_rate
 from tidegate.streaming.running import run_until
+from tidegate.streaming.versions import as_of_stream
 
 START = datetime(2024, 1, 1)
 
@@ -123,3 +124,36 @@ def test_failures_are_raised(spark):
     query = file_stream(spark, root).writeStream.foreachBatch(fail).option("checkpointLocation", f"{root}/checkpoint").start()
     with pytest.raises(Exception, match="no sink"):
         run_until(query, idle_seconds=20)
+
+
+def test_events_wait_for_their_versions(spark):
+    """Both streams in shuffled order within the delay, in four runs of one checkpoint."""
+    root = staging_path(spark, "waiting")
+    rng = random.Random(9)
+    starts = [(rng.choice(["a", "b"]), START + timedelta(minutes=rng.randrange(600)), rng.choice([i, i, None]), f"t{i}") for i in range(60)]
+    facts = [(i, rng.choice(["a", "b", "c"]), START + timedelta(minutes=rng.randrange(600))) for i in range(300)]
+    facts += [(1_000 + i, s[0], s[1]) for i, s in enumerate(starts[:20])] + [(2_000, None, START), (2_001, "a", None)]
+    best = {}
+    for k, at, n, x in starts:
+        text = f'{{"n":{"null" if n is None else n},"x":"{x}"}}'
+        best[k, at] = max(best.get((k, at), ("", None)), (text, (n, x)))
+    want = []
+    for i, k, at in facts:
+        if k is not None and at is not None:
+            before = [a for kk, a in best if kk == k and a <= at]
+            want.append((i, *(best[k, max(before)][1] if before else (None, None))))
+    fact_schema, start_schema = "i int, k string, at timestamp", "k string, valid_from timestamp, n int, x string"
+    rng.shuffle(facts)
+    far = START + timedelta(days=30)
+    for part in range(4):
+        fresh = facts[part::3] if part < 3 else [(-1, "z", far)]
+        late = starts[(part + 1) % 3 :: 3] if part < 3 else []
+        spark.createDataFrame(fresh, fact_schema).repartition(2).write.mode("append").parquet(f"{root}/facts")
+        spark.createDataFrame(late, start_schema).repartition(2).write.mode("append").parquet(f"{root}/starts")
+        events, versions = spark.readStream.schema(fact_schema).parquet(f"{root}/facts"), spark.readStream.schema(start_schema).parquet(f"{root}/starts")
+        joined = as_of_stream(events, versions, ("k", "k"), "at", ["n", "x"], "12 hours")
+        writer = joined.writeStream.format("parquet").option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(f"{root}/table").where("i >= 0")
+    assert got.columns == ["i", "k", "at", "n", "x"]
+    assert values(got, "i", "n", "x") == sorted(want, key=repr)

@@ -15,6 +15,7 @@ from tidegate.streaming.ingest import Paths, dedup_stream, ingest_stream, total_
 from tidegate.streaming.monitor import null_spikes
 from tidegate.streaming.replay import number_for_replay, read_replay, replay_at_rate
 from tidegate.streaming.running import run_until
+from tidegate.streaming.versions import as_of_stream
 from tidegate.streaming.stats import sliding_stats, stream_quality
 from tidegate.sources.topics import keyed_messages
 
@@ -219,3 +220,32 @@ def stream_live_counters(t: Tables) -> DataFrame:
     writer = counted.writeStream.format("parquet").option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint")
     progress = run_until(writer.start(), idle_seconds=3, metrics="seen")
     return t.spark.createDataFrame([(progress.counters.get("processed", 0), progress.counters.get("invalid", 0))], "processed long, invalid long")
+
+
+@query("""
+WITH v AS (SELECT user_id, ts AS a, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS b, max(event_id) AS signup_id
+           FROM events WHERE event_type = 'signup' GROUP BY user_id, ts)
+SELECT e.event_id, e.user_id, v.signup_id FROM events e LEFT JOIN v ON e.user_id = v.user_id AND v.a <= e.ts AND (v.b IS NULL OR v.b > e.ts)
+WHERE e.event_type <> 'signup'""")
+def stream_as_of(t: Tables) -> DataFrame:
+    """Two streams: sign-ups open versions of their users, all other events are joined as of their time. Versions come after the events that need them."""
+    root = staging_path(t.spark, "as_of")
+    facts = t.events.where("event_type <> 'signup'").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    starts = t.events.where("event_type = 'signup'").select("user_id", F.col("ts").cast("timestamp").alias("valid_from"), F.col("event_id").alias("signup_id"))
+    end = F.lit("2025-01-01").cast("timestamp")
+    facts.write.parquet(f"{root}/facts")
+
+    def run() -> None:
+        streams = [t.spark.readStream.schema(df.schema).parquet(f"{root}/{name}") for df, name in ((facts, "facts"), (starts, "starts"))]
+        joined = as_of_stream(*streams, ("user_id", "user_id"), "ts", ["signup_id"], "60 days")
+        writer = joined.writeStream.format("parquet").option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    starts.limit(0).write.parquet(f"{root}/starts")
+    run()
+    starts.write.mode("append").parquet(f"{root}/starts")
+    run()
+    # Rows of a year later move the watermark past all others.
+    facts.limit(1).withColumns({"event_id": F.lit(-1).cast("bigint"), "ts": end}).write.mode("append").parquet(f"{root}/facts")
+    run()
+    return t.spark.read.parquet(f"{root}/table").where("event_id >= 0").select("event_id", "user_id", "signup_id")
