@@ -87,7 +87,7 @@ def ingest_batch(
         staged = spark.read.schema(rows.schema).parquet(pending)
         held = sinks.read_slices(staged, paths.table, sliced) if repeated else None
         sinks.append(staged if held is None else new_rows(held, staged, key), paths.table, [sliced] if sliced else [])
-        inserted, processed, invalid = staged.count(), seen.get["processed"], seen.get["invalid"]
+        inserted, (processed, invalid) = staged.count(), sinks.observed(seen, "processed", "invalid")
         counters = spark.range(1).select(
             *[F.lit(n).cast("bigint").alias(c) for c, n in (("processed", processed), ("inserted", inserted), ("duplicates", processed - invalid - inserted), ("invalid", invalid))]
         )
