@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import BLANKS, in_chunks, per_batch, raw_texts, small_batches
 
 #: Fragments a worker remembers, none of them longer than ``KEPT`` bytes, and bytes up to which a fragment is merged along with others.
-CACHED, KEPT, SHORT = 360_000, 128, 64
+CACHED, KEPT, SHORT = 240_000, 128, 64
 GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 GAPS = np.isin(np.arange(256), [ord(c) for c in BLANKS])
 
@@ -82,13 +82,14 @@ class Encoder:
 
     @cached_property
     def models(self) -> tuple:
-        """The model without and with the end-of-word mark, for parts of long fragments."""
+        """The model without and with the end-of-word mark, for parts of fragments; the latter is the tokenizer's own, not a copy."""
         from tokenizers import models
 
         with open(self.path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        return models.BPE(vocab=model["vocab"], merges=merges), models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=self.suffix or None)
+        # Few parts are inner ones: no cache of words.
+        return models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0), self.whole.model
 
     @cached_property
     def token(self) -> dict[int, str]:
