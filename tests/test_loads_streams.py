@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from tests.conftest import one, values
 from tidegate import schemas as S
+from tidegate.bindings import Tables, published
+from tidegate.operators.mutate import dedup
 from tidegate.operators.quality import GateClosed, check_row_count
 from tidegate.plans import loads as L
 from tidegate.plans import models as M
 from tidegate.plans import runs as R
 from tidegate.session import staging_path
 from tidegate.sources import jdbc, sinks, topics
+from tidegate.sources.files import read_csv_by_name
 from tidegate.streaming import ingest as I
 from tidegate.streaming.events import event_to_row, parse_events, to_events
 from tidegate.streaming.replay import read_replay, replay_to_files
@@ -285,3 +288,20 @@ def test_window_statistics(spark):
     now = F.lit("2024-01-01 02:00:00").cast("timestamp")
     quality = values(stream_quality(df, "ts", now, "1 hour", ["v"]), "events", "invalid", "invalid_pct", "null_v", "lag_seconds")
     assert quality == [(1, 0, 0.0, 1, 3000.0), (2, 1, 50.0, 0, 4800.0)]
+
+
+def test_hashed_rows_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "trips.csv")
+    spark.createDataFrame([("1", "2024-01-01 10:00:00", "1")] * 3 + [("1.0", "2024-01-01 10:00:00", "1")], "vendor_id string, pickup_datetime string, passenger_count string").write.csv(path, header=True)
+    once = dedup(M.land_trips(read_csv_by_name(spark, path)), ["source_row_hash"])
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert once.count() == 1
+
+
+def test_file_is_written_once_and_equal_lines_typed_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(published, "raw_trips", lambda t, make=published.raw_trips: written.append(make(t)) or written[-1])
+    assert values(published.reconciled_load(Tables(spark, "/root/testdata/sf0.001")), "matches") == [(True,)] * 7
+    assert len(written) == 1
+    plan = published.file_trips(spark, written[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("sha2") < plan.index("Aggregate [")
