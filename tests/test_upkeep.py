@@ -151,6 +151,28 @@ def files(path):
     return {f"{folder}/{f}" for folder, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
 
 
+@pytest.mark.parametrize("few_keys", [0, changelog.FEW_KEYS])
+def test_touched_and_other_keys(spark, few_keys):
+    old, new = random_changes(120, keys=12, seed=3), [(k, a, b, t, n + 1000, gone) for k, a, b, t, n, gone in random_changes(60, keys=8, seed=4)]
+    first = changelog.apply_changes(empty_dimension(spark), as_log(spark, []), as_log(spark, old), "k", ["a", "b"], now(), few_keys=few_keys)
+    dim, log = sinks.land(first.dim)[0], first.added
+    # A version without a key isn't in the log; it stays.
+    keyless = dim.limit(1).withColumn("k", F.lit(None).cast("int"))
+    done = changelog.apply_changes(union_all(dim, keyless), log, as_log(spark, new + new + old[:5]), "k", ["a", "b"], F.lit(at(300)), few_keys=few_keys)
+    assert shown(done.dim.where("k IS NOT NULL")) == plain_versions(old + new)
+    assert done.dim.where("k IS NULL").count() == 1
+    assert done.added.count() == len(new)
+    assert done.dim.where("k >= 8 AND updated_at > TIMESTAMP '2024-07-01'").count() == 0
+
+
+def test_load_lands_its_changes_once(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(changelog, "land", lambda df, label: seen.update({label: df.columns}) or sinks.land(df, label))
+    changelog.apply_changes(empty_dimension(spark), as_log(spark, []), as_log(spark, random_changes(40)), "k", ["a", "b"], now())
+    assert list(seen) == ["touched", "added", "changes"]
+    assert seen["touched"] == ["k"] and "change_hash" not in seen["changes"]
+
+
 def test_rollup_follows_late_rows_and_touches_only_their_slices(spark):
     root = staging_path(spark, "rollup")
     source, states = f"{root}/trips", f"{root}/states"

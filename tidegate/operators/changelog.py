@@ -12,21 +12,23 @@ deletion ends the version and opens none.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.hashing import row_hash
 from tidegate.operators.history import HASHES
 from tidegate.operators.shape import union_all
-from tidegate.operators.skew import ROWS_PER_SLICE
+from tidegate.operators.skew import ROWS_PER_SLICE, slice_groups
 from tidegate.operators.windows import with_next, with_previous
 from tidegate.sources.sinks import land
 
 #: Sequence number of the changes that stand for a dimension's existing versions: any other change at their time wins.
 BASE_SEQ = -1
+#: Touched keys that a broadcast holds. With more of them the other keys are listed as well, and joins take the shorter list.
+FEW_KEYS = 500_000
 LOG_COLUMNS = ("effective_at", "seq", "deleted", "change_hash")
 
 
@@ -63,15 +65,32 @@ def versions_from(log: DataFrame, key: str, attrs: Sequence[str], hash: str = "j
     Hot keys are cut into time ranges, so no task holds all changes of a key.
     """
     hashed = log.withColumn("record_hash", F.when(~F.col("deleted"), HASHES[hash](attrs)))
-    last = F.max(F.struct("seq", "deleted", "record_hash", "change_hash", *attrs)).alias("_last")
+    # Rows with one JSON hash have the same attributes, so nothing is left for the change hash to decide, and it isn't shuffled.
+    ties = [] if hash == "json" else ["change_hash"]
+    last = F.max(F.struct("seq", "deleted", "record_hash", *ties, *attrs)).alias("_last")
     one = hashed.groupBy(key, "effective_at").agg(last).select(key, "effective_at", "_last.deleted", "_last.record_hash", *[f"_last.{a}" for a in attrs])
     stated = land(one.withColumn("_state", F.coalesce("record_hash", F.lit(""))), "changes")[0]
-    before = with_previous(stated, [key], ["effective_at"], {"_before": "_state"}, rows_per_slice)
-    moved = land(before.where(F.col("_state") != F.coalesce("_before", F.lit(""))).drop("_before", "_state"), "moves")[0]
-    chained = with_next(moved, [key], ["effective_at"], {"valid_to": "effective_at"}, rows_per_slice)
+    unlike = F.col("_state") != F.coalesce("_before", F.lit(""))
+    if slice_groups(stated, [key], ["effective_at"], rows_per_slice).hot is None:
+        # No key is cut, so both windows share one shuffle.
+        times = Window.partitionBy(key).orderBy("effective_at")
+        moved = stated.withColumn("_before", F.lag("_state").over(times)).where(unlike).drop("_before", "_state")
+        chained = moved.withColumn("valid_to", F.lead("effective_at").over(times))
+    else:
+        before = with_previous(stated, [key], ["effective_at"], {"_before": "_state"}, rows_per_slice)
+        moved = land(before.where(unlike).drop("_before", "_state"), "moves")[0]
+        chained = with_next(moved, [key], ["effective_at"], {"valid_to": "effective_at"}, rows_per_slice)
     return chained.where(~F.col("deleted")).select(key, *attrs, F.col("effective_at").alias("valid_from"), "valid_to", "record_hash")
 
 
+def _split(key: str, touched: DataFrame, others: DataFrame | None) -> tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]:
+    """Rows of touched keys and rows of all other keys, NULL among the latter, by whichever list of keys is given last."""
+    listed = (touched if others is None else others).withColumnRenamed(key, "_key")
+    same = F.col(key) == F.col("_key") if others is None else F.col(key).eqNullSafe(F.col("_key"))
+    inside, outside = ("left_semi", "left_anti") if others is None else ("left_anti", "left_semi")
+    return lambda df: df.join(listed, same, inside), lambda df: df.join(listed, same, outside)
+
+
 def apply_changes(
     dim: DataFrame,
     log: DataFrame,
@@ -82,21 +101,30 @@ def apply_changes(
     hash: str = "json",
     reason: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    few_keys: int = FEW_KEYS,
 ) -> Applied:
     """Apply log rows (see :func:`to_log`) to a dimension whose history ``log`` holds.
 
     Only keys among the changes are rebuilt; all other versions pass by untouched, on the left of an anti
-    join. Versions that stay as they are keep their bookkeeping; those cut or extended
+    join with the touched keys or, when a load of more than ``few_keys`` touches most of them, of a semi-join with the other keys. Versions that stay as they are keep their bookkeeping; those cut or extended
     get ``now`` as their update time. Changes that the log has already are left out, so a load may be repeated.
     """
     placed = F.col(key).isNotNull() & F.col("effective_at").isNotNull()
-    fresh = land(changes.where(placed).dropDuplicates(["change_hash"]), "changes")[0]
-    touched = fresh.select(key).distinct()
-    known = log.join(touched, key, "left_semi")
-    added = land(fresh.join(known.select("change_hash"), "change_hash", "left_anti").select(*log.columns), "added")[0]
+    fresh = changes.where(placed)
+    touched, n = land(fresh.select(key).distinct(), "touched")
+    others = None
+    if n > few_keys:
+        others, m = land(log.select(key).union(dim.select(key)).distinct().join(touched, key, "left_anti"), "others")
+        others = others if m < n else None
+    inside, outside = _split(key, touched, others)
+    known = inside(log)
+    # Most of the log, if most keys are touched: then it needn't be narrowed down first. Repeats within the load go after the join, whose shuffle serves both.
+    near = known if others is None else log
+    unknown = fresh.join(near.select("change_hash"), "change_hash", "left_anti").dropDuplicates(["change_hash"])
+    added = land(unknown.select(*log.columns), "added")[0]
     rebuilt = versions_from(union_all(known, added), key, attrs, hash, rows_per_slice)
 
-    old = dim.join(touched, key, "left_semi")
+    old = inside(dim)
     same = [F.col(f"n.{c}") == F.col(f"o.{c}") for c in (key, "valid_from", "record_hash")]
     both = rebuilt.alias("n").join(old.alias("o"), same, "left")
     stood, unmoved = F.col("o.valid_from").isNotNull(), F.col("o.valid_to").eqNullSafe(F.col("n.valid_to"))
@@ -112,5 +140,5 @@ def apply_changes(
     }
     own = {c: F.col(f"n.{c}") for c in (key, *attrs)}
     columns = [(made | own).get(c, F.col(f"o.{c}")).alias(c) for c in dim.columns]
-    kept = dim.join(touched, key, "left_anti").select(*dim.columns)
+    kept = outside(dim).select(*dim.columns)
     return Applied(union_all(kept, both.select(*columns)), added, changes.where(~placed))
