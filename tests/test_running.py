@@ -157,3 +157,25 @@ def test_events_wait_for_their_versions(spark):
     got = spark.read.parquet(f"{root}/table").where("i >= 0")
     assert got.columns == ["i", "k", "at", "n", "x"]
     assert values(got, "i", "n", "x") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_keys_share_a_state(spark, buckets):
+    """Far fewer states than keys; some keys have events only, some versions only, and one run brings rows for few keys."""
+    root = staging_path(spark, "buckets")
+    rng = random.Random(11)
+    starts = [(k, START + timedelta(minutes=7 * k + 100 * i), 10 * k + i) for k in range(20) for i in range(k % 4)]
+    facts = [(i, rng.randrange(5, 25), START + timedelta(minutes=rng.randrange(600))) for i in range(200)]
+    want = [(i, max(((a, n) for kk, a, n in starts if kk == k and a <= at), default=(None, None))[1]) for i, k, at in facts]
+    far = START + timedelta(days=30)
+    fact_schema, start_schema = "i int, k int, at timestamp", "k int, valid_from timestamp, n int"
+    for fresh, late in ((facts[:150], []), (facts[150:], starts[:3]), ([], starts[3:]), ([(-1, 99, far)], [])):
+        spark.createDataFrame(fresh, fact_schema).repartition(2).write.mode("append").parquet(f"{root}/facts")
+        spark.createDataFrame(late, start_schema).repartition(2).write.mode("append").parquet(f"{root}/starts")
+        events, versions = spark.readStream.schema(fact_schema).parquet(f"{root}/facts"), spark.readStream.schema(start_schema).parquet(f"{root}/starts")
+        joined = as_of_stream(events, versions, ("k", "k"), "at", ["n"], "12 hours", buckets=buckets)
+        writer = joined.writeStream.format("parquet").option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    assert values(spark.read.parquet(f"{root}/table").where("i >= 0"), "i", "n") == sorted(want, key=repr)
+    states = spark.read.format("statestore").load(f"{root}/checkpoint").count()
+    assert states <= 3 if buckets else states > 3

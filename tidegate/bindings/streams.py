@@ -237,7 +237,7 @@ def stream_as_of(t: Tables) -> DataFrame:
 
     def run() -> None:
         streams = [t.spark.readStream.schema(df.schema).parquet(f"{root}/{name}") for df, name in ((facts, "facts"), (starts, "starts"))]
-        joined = as_of_stream(*streams, ("user_id", "user_id"), "ts", ["signup_id"], "60 days")
+        joined = as_of_stream(*streams, ("user_id", "user_id"), "ts", ["signup_id"], "60 days", buckets=1024)
         writer = joined.writeStream.format("parquet").option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
         writer.trigger(availableNow=True).start().awaitTermination()
 

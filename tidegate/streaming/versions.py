@@ -5,12 +5,14 @@ bring something older, the event waits in state; once the watermark has passed i
 emitted once, with the attributes it then has for good. So the result is that of the batch as-of join,
 whatever the order of arrival within the delay.
 
-This is a stateful operator that Spark has no built-in for; its state is per key: the versions that some event may still need, and the
-events that wait. Both go as the watermark moves on: of the versions behind it only the last one stays.
+This is a stateful operator that Spark has no built-in for; its state holds, per key, the versions that some event may still need, and the
+events that wait. Both go as the watermark moves on: of the versions behind it only the last one stays. A state is of one key or, since
+each call costs as much as a few hundred rows, of a bucket of keys.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+#: Kinds of rows, and the places of their lists in what is held of a key.
 VERSION, EVENT = 0, 1
 
 
@@ -30,6 +33,7 @@ def as_of_stream(
     attrs: Sequence[str],
     delay: str,
     valid_from: str = "valid_from",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Events of a stream with the attributes of the version valid at their time, in append mode.
 
@@ -38,6 +42,9 @@ def as_of_stream(
     of a key without versions, get NULLs. Of several starts at one time the one that sorts last by its attributes counts. NULL
     keys and NULL times never match, so such events are left out; route them before. Later than the watermark, rows are dropped as in any
     stream operator with one.
+
+    With ``buckets`` keys share that many states, each written anew whenever one of its keys has rows. That is for batches that touch most
+    keys; take so many buckets that a state stays at some MB. Without it every key has its own, for small batches. The number belongs to the checkpoint.
     """
     fields = StructType([events.schema[c] for c in events.columns])
     event_row = F.to_json(F.struct(*events.columns)).alias("row")
@@ -47,36 +54,39 @@ def as_of_stream(
         events.select(F.col(key[0]).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("at"), F.lit(EVENT).alias("kind"), event_row),
     ]
     both = placed[0].unionByName(placed[1]).where("key IS NOT NULL AND at IS NOT NULL").withWatermark("at", delay)
-    micros = both.withColumn("micros", F.unix_micros("at"))
+    group = F.col("key") if buckets is None else F.pmod(F.xxhash64("key"), F.lit(buckets))
+    micros = both.withColumns({"micros": F.unix_micros("at"), "bucket": group})
 
     def step(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        starts, waiting = (list(map(tuple, zip(*s, strict=True))) for s in _halves(state.get)) if state.exists else ([], [])
+        held = json.loads(state.get[0]) if state.exists else {}
         for part in parts:
-            for at, kind, row in zip(part["micros"].tolist(), part["kind"].tolist(), part["row"].tolist(), strict=True):
-                (waiting if kind == EVENT else starts).append((at, row))
-        starts.sort()
+            for name, at, kind, row in zip(part["key"].tolist(), part["micros"].tolist(), part["kind"].tolist(), part["row"].tolist(), strict=True):
+                held.setdefault(name, ([], []))[kind].append((at, row))
         # A start or an event at the watermark's own time can still come.
         passed = state.getCurrentWatermarkMs() * 1000
-        ready = sorted(e for e in waiting if e[0] < passed)
-        out, n = [], 0
-        for at, row in ready:
-            while n < len(starts) and starts[n][0] <= at:
-                n += 1
-            out.append((row, starts[n - 1][1] if n else None))
-        waiting = [e for e in waiting if e[0] >= passed]
-        behind = sum(at < passed for at, _ in starts)
-        starts = starts[max(0, behind - 1) :]
-        state.update(([a for a, _ in starts], [r for _, r in starts], [a for a, _ in waiting], [r for _, r in waiting]))
-        if waiting:
-            state.setTimeoutTimestamp(max(min(a for a, _ in waiting) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["event", "version"], dtype="object")
+        out, left, due = [], {}, []
+        for name, (starts, waiting) in held.items():
+            starts = sorted(map(tuple, starts))
+            n = 0
+            for at, row in sorted(tuple(e) for e in waiting if e[0] < passed):
+                while n < len(starts) and starts[n][0] <= at:
+                    n += 1
+                out.append((row, starts[n - 1][1] if n else None))
+            waiting = [e for e in waiting if e[0] >= passed]
+            behind = sum(at < passed for at, _ in starts)
+            starts = starts[max(0, behind - 1) :]
+            if starts or waiting:
+                left[name] = (starts, waiting)
+            due += [min(e[0] for e in waiting)] if waiting else []
+        if left:
+            state.update((json.dumps(left),))
+        elif state.exists:
+            state.remove()
+        if due:
+            state.setTimeoutTimestamp(max(min(due) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame(out, columns=["event", "version"], dtype="object")
 
-    joined = micros.groupBy("key").applyInPandasWithState(
-        step, "event string, version string", "starts array<long>, versions array<string>, times array<long>, events array<string>", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    joined = micros.groupBy("bucket").applyInPandasWithState(step, "event string, version string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
     version = F.from_json("version", StructType([versions.schema[a] for a in attrs])).alias("version")
     return joined.select(F.from_json("event", fields).alias("event"), version).select("event.*", *[f"version.{a}" for a in attrs])
-
-
-def _halves(state: tuple) -> list[tuple]:
-    return [state[:2], state[2:]]
