@@ -13,7 +13,7 @@ from tidegate.operators.quality import GateClosed, check_row_count
 from tidegate.plans import loads as L
 from tidegate.plans import models as M
 from tidegate.plans import runs as R
-from tidegate.session import staging_path
+from tidegate.session import LEAN_SETTINGS, lean_on_disk, staging_path
 from tidegate.sources import jdbc, sinks, topics
 from tidegate.sources.files import read_csv_by_name
 from tidegate.streaming import ingest as I
@@ -305,3 +305,59 @@ def test_file_is_written_once_and_equal_lines_typed_once(spark, monkeypatch):
     assert len(written) == 1
     plan = published.file_trips(spark, written[0])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("sha2") < plan.index("Aggregate [")
+
+
+def test_lean_settings_hold_inside_only(spark, tmp_path):
+    keys = list(LEAN_SETTINGS)
+    before = [spark.conf.get(k, None) for k in keys]
+    with pytest.raises(ZeroDivisionError), lean_on_disk(spark):
+        assert {k: spark.conf.get(k) for k in keys} == LEAN_SETTINGS
+        spark.range(3).write.parquet(str(tmp_path / "t"))
+        raise ZeroDivisionError
+    assert [spark.conf.get(k, None) for k in keys] == before
+    assert [f for f in os.listdir(tmp_path / "t") if f.endswith(".zstd.parquet")]
+
+
+def trip_tables(spark, folder, repeats):
+    """Orders 1 to 40 with two lines each, all of it ``repeats`` times under other order keys."""
+    many = spark.range(40 * repeats).selectExpr("id AS o_orderkey", "id % 40 AS n").selectExpr("*", "timestampadd(DAY, cast(40 * n AS INT), TIMESTAMP '1993-01-01') AS o_orderdate")
+    many.drop("n").write.parquet(f"{folder}/orders.parquet")
+    many.selectExpr(
+        "o_orderkey AS l_orderkey", "6 + n AS l_partkey", "12 + n AS l_suppkey", "explode(array(1, 7, 2)) AS l_linenumber", "5.0D AS l_quantity", "(900 + n) / 1.0D AS l_extendedprice",
+        "0.02D AS l_tax", "'O' AS l_linestatus", "timestampadd(DAY, 9, o_orderdate) AS l_shipdate",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return Tables(spark, str(folder))
+
+
+@pytest.mark.parametrize("name", ["published_trips"])
+def test_raw_file_is_small_and_goes_once_landed(spark, tmp_path, monkeypatch, name):
+    written, lands, seen = [], [], []
+    monkeypatch.setattr(published, "raw_trips", lambda t, make=published.raw_trips: written.append(make(t)) or seen.extend(os.listdir(written[-1])) or written[-1])
+    monkeypatch.setattr(sinks, "landed", lambda df, path, go=sinks.landed: lands.append(path.rsplit("/", 1)[1].split("-")[0]) or go(df, path))
+    monkeypatch.setattr(published, "LINES_PER_FILE", 50)
+    found = getattr(published, name)(trip_tables(spark, tmp_path, 2))
+    parts = [f for f in seen if f.startswith("part-")]
+    assert len(parts) >= 5 and all(f.endswith(".csv.gz") for f in parts)
+    assert os.path.exists(written[0]) == (name == "reconciled_load")
+    assert lands.count("load") == 2 and "added" not in lands
+    if name == "gate_outcome":
+        assert values(found.where("check = 'row_count'"), "success", "observed", "gate") == [(False, 80.0, "closed")]
+    elif name == "published_trips":
+        assert found.count() == 80 and found.distinct().count() == 80
+    else:
+        assert found.agg(F.sum("source_rows"), F.sum("landed_rows"), F.bool_and("matches")).first() == (80, 80, True)
+
+
+def test_append_marks_known_rows_in_one_copy(spark, tmp_path):
+    path, now = str(tmp_path / "t"), F.lit("2024-02-01").cast("timestamp")
+    marks = spark.createDataFrame([], S.ddl(S.WATERMARK_COLUMNS))
+
+    def load(*data):
+        rows = spark.createDataFrame([(k, s, datetime(2024, 1, 1)) for k, s in data], "k string, s int, ts timestamp")
+        return L.incremental_append(path, rows, marks, "d", "ts", ["k"], "r", now, slice_column="s")
+
+    first, second, third = load(("a", 1), (None, 2)), load(("a", 1), ("b", 1), ("b", 1), (None, 2)), load(("a", 1))
+    assert [(x.rows_loaded, x.rows_added) for x in (first, second, third)] == [(2, 2), (3, 2), (1, 0)]
+    stored = spark.read.parquet(path)
+    assert values(stored, "k", "s") == sorted([("a", 1), (None, 2), ("b", 1), (None, 2)], key=repr)
+    assert "_matched" not in stored.columns and values(stored, "id") == [(1,), (2,), (3,), (4,)]
