@@ -329,7 +329,7 @@ def trip_tables(spark, folder, repeats):
     return Tables(spark, str(folder))
 
 
-@pytest.mark.parametrize("name", ["gate_outcome", "published_trips"])
+@pytest.mark.parametrize("name", ["gate_outcome", "published_trips", "reconciled_load"])
 def test_raw_file_is_small_and_goes_once_landed(spark, tmp_path, monkeypatch, name):
     written, lands, seen = [], [], []
     monkeypatch.setattr(published, "raw_trips", lambda t, make=published.raw_trips: written.append(make(t)) or seen.extend(os.listdir(written[-1])) or written[-1])
